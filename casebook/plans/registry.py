@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.plans import loyalty
+from casebook.plans import bank, loyalty
 from casebook.sources import bind
 
 # Parameter values for the bound test data.
@@ -47,4 +47,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                           bonus_product=BOUND_BONUS_PRODUCT,
                                           cutoff=BOUND_POINTS_CUTOFF, intent=True),
     "loyalty_member_ranking": _q(loyalty.member_ranking),
+    # bank
+    "scan_bank_sources": _q(bank.scan_sources),
+    "bank_node_count": _q(bank.node_count),
+    "bank_nodes_per_region": _q(bank.nodes_per_region),
+    "bank_customers_per_region": _q(bank.customers_per_region),
+    "bank_realloc_days_customer": _q(bank.realloc_days_customer),
+    "bank_realloc_days_all": _q(bank.realloc_days_all),
+    "bank_realloc_percentiles": _q(bank.realloc_percentiles),
+    "bank_realloc_percentiles_intent": _q(bank.realloc_percentiles,
+                                          percentiles=bank.PERCENTILES_INTENT),
+    "bank_txn_type_totals": _q(bank.txn_type_totals),
+    "bank_deposit_averages": _q(bank.deposit_averages),
+    "bank_active_customers_month": _q(bank.active_customers_month),
+    "bank_active_customers_month_intent": _q(bank.active_customers_month, intent=True),
+    "bank_month_net": _q(bank.month_net),
+    "bank_month_net_intent": _q(bank.month_net, intent=True),
+    "bank_growth_share": _q(bank.growth_share),
+    "bank_growth_share_intent": _q(bank.growth_share, intent=True),
+    "bank_alloc_prev_month": _q(bank.alloc_prev_month),
+    "bank_alloc_avg_deposit": _q(bank.alloc_avg_deposit),
+    "bank_alloc_running": _q(bank.alloc_running),
+    "bank_alloc_interest": _q(bank.alloc_interest),
 }
