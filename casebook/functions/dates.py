@@ -28,7 +28,7 @@ def parse_dmy2(s, pivot_year: int = 2049) -> Column:
     ``pivot_year`` are 20xx, later ones 19xx.  Spark's ``yy`` always yields
     2000-2099, so years above the pivot are moved back a century.
     """
-    d = F.try_to_date(_c(s), F.lit("d/M/yy"))
+    d = F.try_to_date(_c(s), "d/M/yy")
     return F.when(F.year(d) > pivot_year, F.add_months(d, -1200)).otherwise(d)
 
 

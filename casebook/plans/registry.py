@@ -11,12 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.plans import bank, loyalty
+from casebook.plans import bank, loyalty, mart
 from casebook.sources import bind
 
 # Parameter values for the bound test data.
 BOUND_BONUS_PRODUCT = "blue anvil"
 BOUND_POINTS_CUTOFF = dt.date(1998, 12, 31)
+BOUND_CHANGE_DATE = dt.date(1998, 6, 15)
+BOUND_CHANGE_YEAR = 1998
+BOUND_MISSING_WEEKS_YEAR = 2001
 
 
 def _q(fn, **params) -> Callable[[SparkSession, str], DataFrame]:
@@ -69,4 +72,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bank_alloc_avg_deposit": _q(bank.alloc_avg_deposit),
     "bank_alloc_running": _q(bank.alloc_running),
     "bank_alloc_interest": _q(bank.alloc_interest),
+    # mart
+    "mart_clean": _q(mart.clean),
+    "mart_weekday": _q(mart.weekday),
+    "mart_missing_weeks": _q(mart.missing_weeks, year=BOUND_MISSING_WEEKS_YEAR),
+    "mart_txn_by_year": _q(mart.txn_by_year),
+    "mart_sales_region_month": _q(mart.sales_region_month),
+    "mart_txn_by_platform": _q(mart.txn_by_platform),
+    "mart_platform_share": _q(mart.platform_share),
+    "mart_demographic_share": _q(mart.demographic_share),
+    "mart_retail_contribution": _q(mart.retail_contribution),
+    "mart_avg_transaction": _q(mart.avg_transaction),
+    "mart_avg_transaction_intent": _q(mart.avg_transaction, by_platform=True),
+    "mart_change_week": _q(mart.change_week, change_date=BOUND_CHANGE_DATE,
+                           year=BOUND_CHANGE_YEAR),
+    "mart_before_after_4w": _q(mart.before_after, weeks=mart.WEEKS_4),
+    "mart_before_after_4w_intent": _q(mart.before_after, weeks=mart.WEEKS_4,
+                                      year=BOUND_CHANGE_YEAR),
+    "mart_before_after_12w": _q(mart.before_after, weeks=mart.WEEKS_12,
+                                year=BOUND_CHANGE_YEAR, diff_name="sales_diff_12w",
+                                pct_name="percent_diff_12w"),
+    "mart_before_after_12w_intent": _q(mart.before_after, weeks=mart.WEEKS_12_INTENT,
+                                       year=BOUND_CHANGE_YEAR, diff_name="sales_diff_12w",
+                                       pct_name="percent_diff_12w"),
+    "mart_before_after_4w_years": _q(mart.before_after_years, weeks=mart.WEEKS_4),
+    "mart_before_after_12w_years": _q(mart.before_after_years, weeks=mart.WEEKS_12),
+    "mart_impact_by_area": _q(mart.impact_by_area, year=BOUND_CHANGE_YEAR),
+    "mart_worst_area": _q(mart.worst_area, year=BOUND_CHANGE_YEAR),
 }
