@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.plans import bank, loyalty, mart
+from casebook.plans import bank, loyalty, mart, web
 from casebook.sources import bind
 
 # Parameter values for the bound test data.
@@ -99,4 +99,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_before_after_12w_years": _q(mart.before_after_years, weeks=mart.WEEKS_12),
     "mart_impact_by_area": _q(mart.impact_by_area, year=BOUND_CHANGE_YEAR),
     "mart_worst_area": _q(mart.worst_area, year=BOUND_CHANGE_YEAR),
+    # web
+    "web_user_count": _q(web.user_count),
+    "web_cookies_per_user": _q(web.cookies_per_user),
+    "web_visits_per_month": _q(web.visits_per_month),
+    "web_events_by_type": _q(web.events_by_type),
+    "web_purchase_pct": _q(web.purchase_pct),
+    "web_checkout_no_purchase_pct": _q(web.checkout_no_purchase_pct),
+    "web_checkout_no_purchase_pct_intent": _q(web.checkout_no_purchase_pct, intent=True),
+    "web_top_pages": _q(web.top_pages),
+    "web_category_counts": _q(web.category_counts),
+    "web_top_products": _q(web.top_products),
+    "web_product_funnel": _q(web.product_funnel),
+    "web_category_funnel": _q(web.category_funnel),
+    "web_product_leaders": _q(web.product_leaders),
+    "web_product_leaders_intent": _q(web.product_leaders, intent=True),
+    "web_most_abandoned": _q(web.most_abandoned),
+    "web_view_to_purchase": _q(web.view_to_purchase),
+    "web_view_to_purchase_intent": _q(web.view_to_purchase, intent=True),
+    "web_view_to_cart_rate": _q(web.view_to_cart_rate),
+    "web_cart_to_purchase_rate": _q(web.cart_to_purchase_rate),
+    "web_visit_campaigns": _q(web.visit_campaigns),
 }
