@@ -102,8 +102,13 @@ def txn_by_platform(t) -> DataFrame:
 
 
 def platform_share(t) -> DataFrame:
-    """Percent of each month's sales by platform (Retail, Shopify)."""
-    m = (_cws(t).groupBy("calendar_year", "month_number", "platform")
+    """Percent of each month's sales by platform (Retail, Shopify).
+
+    Platforms are grouped and matched case-insensitively, as under the
+    reference's collation.
+    """
+    m = (_cws(t).groupBy("calendar_year", "month_number",
+                         F.lower("platform").alias("platform"))
          .agg(F.sum(_sales()).alias("monthly_sales")))
     tot = F.sum("monthly_sales")
     return (m.groupBy("calendar_year", "month_number")
@@ -115,7 +120,7 @@ def platform_share(t) -> DataFrame:
 
 def demographic_share(t) -> DataFrame:
     """Percent of each year's sales by demographic (case-insensitive labels)."""
-    y = (_cws(t).groupBy("calendar_year", "demographic")
+    y = (_cws(t).groupBy("calendar_year", F.lower("demographic").alias("demographic"))
          .agg(F.sum(_sales()).alias("yearly_sales")))
     tot = F.sum("yearly_sales")
 
