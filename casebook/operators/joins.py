@@ -47,7 +47,7 @@ def not_in_values(df: DataFrame, col: str, values: DataFrame, vcol: str) -> Data
     holds a NULL the predicate is never true, so the result is empty.  The
     NULL test is a one-row scalar subquery; the rest is a left-anti join.
     """
-    v = values.select(F.col(vcol).alias("_v"))
+    v = values.select(F.col(vcol).alias("_v")).distinct()
     has_null = v.agg(F.max(F.col("_v").isNull().cast("int")).alias("_h"))
     return (df.join(v.where(F.col("_v").isNotNull()), df[col] == F.col("_v"), "left_anti")
             .where(F.coalesce(has_null.scalar(), F.lit(0)) == 0))
