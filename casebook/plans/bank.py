@@ -220,6 +220,69 @@ def alloc_avg_deposit(t) -> DataFrame:
     return _sum_gb(m.withColumn("_prev", prev), _gb(F.col("_prev")))
 
 
+def alloc_avg_balance(t, window_days: int = 30) -> DataFrame:
+    """Storage per calendar month from the mean balance of the previous days.
+
+    The question behind the reference's option 2: allocate on "the average
+    amount of money kept in the account in the previous 30 days".  For each
+    customer and each month with transactions, the window is the
+    ``window_days`` days before the month's first day, and the mean is taken
+    over the end-of-day balance of each window day (0 before the first
+    transaction).  A customer with no transaction before the month gets the
+    0.5 GB base, as a missing previous month does.
+
+    No per-customer window over raw rows is needed.  The sum of the window's
+    daily balances is ``window_days x opening balance`` plus, for every
+    balance change inside the window, ``change x days from it to the month
+    start``.  The opening balance is an as-of lookup done by one window over
+    (customer, day) rows and month anchors, bounded by the calendar.  Each
+    change day can fall only into the windows of the next one or two month
+    starts, so it is joined to at most two customer-months.
+    """
+    tx = t.customer_transactions
+    daily = (tx.groupBy("customer_id", F.col("txn_date").alias("day"))
+             .agg(F.sum(_signed()).alias("day_total")))
+    upto = (Window.partitionBy("customer_id").orderBy("day")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    daily = daily.withColumn("bal", F.sum("day_total").over(upto))
+    months = tx.select("customer_id", F.trunc("txn_date", "month").alias("s")).distinct()
+
+    # Opening balance: the balance as of the day before the window starts.
+    anchors = months.select("customer_id", F.date_sub("s", window_days + 1).alias("day"),
+                            F.lit(None).cast(daily.schema["bal"].dataType).alias("bal"),
+                            F.lit(1).alias("_kind"), "s")
+    changes = daily.select("customer_id", "day", "bal", F.lit(0).alias("_kind"),
+                           F.lit(None).cast("date").alias("s"))
+    asof = (Window.partitionBy("customer_id").orderBy("day", "_kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    opening = (changes.unionByName(anchors)
+               .withColumn("_b0", F.last("bal", ignorenulls=True).over(asof))
+               .where(F.col("_kind") == 1).select("customer_id", "s", "_b0"))
+
+    # Changes inside the window of month start s: s - window_days <= day < s.
+    first = F.trunc("day", "month")
+    starts = F.array(*[F.add_months(first, k) for k in range(1, window_days // 28 + 2)])
+    inside = (daily.select("customer_id", "day", "day_total", F.explode(starts).alias("s"))
+              .where(F.col("s") <= F.date_add("day", window_days))
+              .join(months, ["customer_id", "s"])
+              .groupBy("customer_id", "s")
+              .agg(F.sum(F.col("day_total") * F.datediff("s", "day")).alias("_inside")))
+
+    per = months.join(opening, ["customer_id", "s"], "left").join(inside, ["customer_id", "s"],
+                                                                  "left")
+    has_prior = F.col("_b0").isNotNull() | F.col("_inside").isNotNull()
+    total = (F.coalesce(F.col("_b0"), F.lit(0)) * window_days
+             + F.coalesce(F.col("_inside"), F.lit(0)))
+    counted = F.when(has_prior & (total >= 0), total)
+    # sum(total / days * 0.02 + 0.5) = sum(total) / (days * 50) + 0.5 * customers
+    gb = (F.coalesce(F.sum(counted), F.lit(0)).cast("double") / float(window_days * 50)
+          + F.lit(0.5) * F.count(F.lit(1)))
+    return (per.groupBy(F.year("s").cast("int").alias("year_no"),
+                        F.month("s").cast("int").alias("month_no"),
+                        month_name("s").alias("month_name"))
+            .agg(F.round(gb, 2).cast(MONEY).alias("total_data_allocated_gb")))
+
+
 def _daily_running(t) -> DataFrame:
     days = running_total_by_day(t.customer_transactions, "customer_id", "txn_date",
                                 _signed(), "running_bal")

@@ -70,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bank_growth_share_intent": _q(bank.growth_share, intent=True),
     "bank_alloc_prev_month": _q(bank.alloc_prev_month),
     "bank_alloc_avg_deposit": _q(bank.alloc_avg_deposit),
+    "bank_alloc_avg_deposit_intent": _q(bank.alloc_avg_balance),
     "bank_alloc_running": _q(bank.alloc_running),
     "bank_alloc_interest": _q(bank.alloc_interest),
     # mart

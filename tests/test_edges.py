@@ -174,3 +174,10 @@ def test_web_visit_campaigns(spark):                    # A17, R8
                    ("v3", 1, 0, 0, 1, 1, None, "A"),
                    ("v4", 1, 1, 0, 0, 0, "p14", "A"),
                    ("v4", 1, 1, 0, 0, 0, "p14", "B")]
+
+
+def test_bank_thirty_day_mean_balance(spark):           # D13 intent
+    got = {(y, m): v for y, m, _, v in rows(bank.alloc_avg_balance(fixtures.bank(spark)))}
+    assert got == {(2020, 1): Decimal("1.00"), (2020, 2): Decimal("1.00"),
+                   (2020, 3): Decimal("0.50"), (2020, 4): Decimal("20.50"),
+                   (2021, 1): Decimal("7.90")}
