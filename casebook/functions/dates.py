@@ -21,15 +21,39 @@ def us_week(d) -> Column:
     return (F.floor((F.dayofyear(d) + F.dayofweek(jan1) - 2) / 7) + 1).cast("int")
 
 
+def _yy(s: Column) -> Column:
+    """The two-digit year field of ``d/M/yy`` text (NULL if not a number)."""
+    return F.substring_index(s, "/", -1).try_cast("int")
+
+
 def parse_dmy2(s, pivot_year: int = 2049) -> Column:
     """``TRY_CONVERT(date, s, 3)``: ``d/M/yy`` text to DATE, NULL on failure.
 
     Two-digit years follow the two-digit-year cutoff: years up to
     ``pivot_year`` are 20xx, later ones 19xx.  Spark's ``yy`` always yields
-    2000-2099, so years above the pivot are moved back a century.
+    2000-2099, so years above the pivot are moved back a century.  The
+    century is read from the text's year field, so the parse itself appears
+    once in the expression; a filter that Catalyst pushes down to a scan
+    then parses each row once, not once per reference.
+    """
+    s = _c(s)
+    d = F.try_to_date(s, "d/M/yy")
+    shift = F.when(_yy(s) > pivot_year - 2000, -1200).otherwise(0)
+    return F.add_months(d, shift)
+
+
+def us_week_of_dmy2(s, pivot_year: int = 2049) -> Column:
+    """``DATEPART(WEEK, TRY_CONVERT(date, s, 3))`` with a single parse.
+
+    Same value as ``us_week(parse_dmy2(s))``; 1 January is built from the
+    text's year field, so the parsed date is referenced only once.
     """
-    d = F.try_to_date(_c(s), "d/M/yy")
-    return F.when(F.year(d) > pivot_year, F.add_months(d, -1200)).otherwise(d)
+    s = _c(s)
+    yy = _yy(s)
+    jan1 = F.make_date(F.when(yy <= pivot_year - 2000, yy + 2000).otherwise(yy + 1900),
+                       F.lit(1), F.lit(1))
+    d = parse_dmy2(s, pivot_year)
+    return (F.floor((F.datediff(d, jan1) + F.dayofweek(jan1) - 1) / 7) + 1).cast("int")
 
 
 def month_name(d) -> Column:

@@ -6,8 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.functions import ci_eq, int_avg, int_div, parse_dmy2, pct_change, us_week, \
-    weekday_name
+from casebook.functions import ci_eq, int_avg, int_div, parse_dmy2, pct_change, \
+    us_week_of_dmy2, weekday_name
 from casebook.operators import not_in_values, period_sum, unpivot_dims
 
 # Reference literals.
@@ -42,7 +42,7 @@ def clean(t) -> DataFrame:
     tx = F.col("transactions")
     return (t.data_mart.withColumn("_d", d)
             .select(F.col("_d").alias("week_date"),
-                    us_week("_d").alias("week_number"),
+                    us_week_of_dmy2("week_date").alias("week_number"),
                     F.month("_d").cast("int").alias("month_number"),
                     F.year("_d").cast("int").alias("calendar_year"),
                     "region", "platform",

@@ -75,3 +75,14 @@ def test_names(spark):
 def test_decimal_money_is_exact(spark):
     df = spark.createDataFrame([(Decimal("0.10"),)] * 10, "x decimal(18,2)")
     assert df.agg(F.sum("x")).first()[0] == Decimal("1.00")
+
+
+def test_us_week_of_text_equals_week_of_parsed(spark):
+    from casebook.functions import us_week_of_dmy2
+    start = dt.date(1948, 1, 1)
+    df = spark.range(0, 365 * 110, 3).select(
+        F.date_format(F.date_add(F.lit(start), F.col("id").cast("int")), "d/M/yy").alias("s"))
+    df = df.unionByName(spark.createDataFrame([("31/2/20",), ("x/y/zz",), ("1/1/2020",),
+                                               (None,)], "s string"))
+    bad = df.where(~us_week_of_dmy2("s").eqNullSafe(us_week(parse_dmy2("s"))))
+    assert bad.count() == 0
