@@ -41,12 +41,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be shared storage;
-    it is read from the session.  Only when it is unset (local tests) a
-    scratch folder is created and registered.
+    it is read from the session and returned unchanged on every call.  Only
+    when it is unset (local tests) a scratch folder is registered once.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="casebook-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    if base:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(base)
+        return base
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="casebook-ckpt-"))
+    return sc.getCheckpointDir()

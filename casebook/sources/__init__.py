@@ -2,4 +2,6 @@
 
 from casebook.sources.schemas import SCHEMAS  # noqa: F401
 from casebook.sources.tables import Tables, bind  # noqa: F401
-from casebook.sources.sinks import materialize, read_materialized  # noqa: F401
+from casebook.sources.sinks import (  # noqa: F401
+    drop_table, materialize, read_materialized, save_table,
+)

@@ -3,7 +3,8 @@
 A materialised table is written as Parquet under the shared folder named
 by ``spark.checkpoint.dir`` (or an explicit path) and read back, which also
 cuts the lineage of long jobs.  ``mode="overwrite"`` replaces an existing
-table, the Spark form of drop-and-create.
+table, the Spark form of drop-and-create.  ``save_table`` / ``drop_table``
+do the same through the session catalog.
 """
 
 from __future__ import annotations
@@ -19,7 +20,11 @@ def _path(spark: SparkSession, name: str, path: str | None) -> str:
 
 def materialize(df: DataFrame, name: str, path: str | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as table ``name`` (overwrite) and return it read back."""
+    """Write ``df`` as table ``name`` (overwrite) and return it read back.
+
+    ``partition_by`` lays the files out by those columns, so later filters
+    on them prune whole folders.
+    """
     spark = df.sparkSession
     target = _path(spark, name, path)
     w = df.write.mode("overwrite")
@@ -31,3 +36,17 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
 
 def read_materialized(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     return spark.read.parquet(_path(spark, name, path))
+
+
+def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """``SELECT ... INTO name``: create or replace a catalog table."""
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """``DROP TABLE IF EXISTS name``."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

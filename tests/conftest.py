@@ -13,6 +13,7 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="casebook-test-")
     s = get_spark("local[4]", app="casebook-tests", shuffle_partitions=4,
                   extra={"spark.local.dir": scratch,
+                         "spark.sql.warehouse.dir": f"{scratch}/warehouse",
                          "spark.driver.memory": "4g"})
     checkpoint_dir(s)
     yield s
