@@ -76,14 +76,18 @@ def realloc_days_all(t) -> DataFrame:
 def realloc_percentiles(t, percentiles: dict[str, float] | None = None) -> DataFrame:
     """Exact interpolated percentiles of stay days per region.
 
-    ``percentile`` keeps a value -> count map per group and merges it
-    map-side; day counts take few distinct values, so the state stays small
-    however many rows a region has.
+    Stays are first counted per (region, days) — an ordinary distributed
+    aggregation — and the percentile is then taken over that histogram with
+    its counts as frequencies.  The final per-region step sees one row per
+    distinct stay length (bounded by the calendar), however many stays a
+    region has.
     """
     ps = percentiles or PERCENTILES
-    aggs = [F.round(F.percentile("_days", F.lit(p)), PERCENTILE_DIGITS).alias(name)
+    hist = (_closed_stays(t).groupBy("region_id", "_days")
+            .agg(F.count(F.lit(1)).alias("_n")))
+    aggs = [F.round(F.percentile("_days", F.lit(p), F.col("_n")), PERCENTILE_DIGITS).alias(name)
             for name, p in ps.items()]
-    per = _closed_stays(t).groupBy("region_id").agg(*aggs)
+    per = hist.groupBy("region_id").agg(*aggs)
     return per.join(t.regions, "region_id").select("region_id", "region_name", *ps)
 
 
