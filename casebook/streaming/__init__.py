@@ -3,3 +3,4 @@
 from casebook.streaming.allocation import (  # noqa: F401
     allocation_rows, monthly_allocation, running_balance_stream,
 )
+from casebook.streaming.sessions import visit_summary_stream  # noqa: F401,E402

@@ -36,3 +36,39 @@ def test_stream_matches_batch(spark):
         out.stop()
     streamed = monthly_allocation(spark.table("alloc_rows"))
     assert rows(streamed) == rows(bank.alloc_running(t))
+
+
+def test_session_windows_match_batch_visits(spark):
+    from casebook.streaming import visit_summary_stream
+    raw = spark.read.parquet(f"{SF}/events.parquet")
+    inbox = tempfile.mkdtemp(prefix="casebook-ev-in-")
+    raw.where(F.col("ts") < "2024-01-15").coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(raw.schema).parquet(inbox)
+    q = (visit_summary_stream(stream).writeStream.format("memory").queryName("visits")
+         .outputMode("append")
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="casebook-ev-ck-")).start())
+    try:
+        q.processAllAvailable()
+        raw.where(F.col("ts") >= "2024-01-15").coalesce(1).write.mode("append").parquet(inbox)
+        q.processAllAvailable()
+        # a far-future event moves the watermark past every real visit
+        late = spark.createDataFrame([(10**9, "2030-01-01 00:00:00", 10**6, "view", 0.0, "{}")],
+                                     "event_id long, ts string, user_id long, event_type string,"
+                                     " value double, props string") \
+            .withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*raw.columns)
+        late.write.mode("append").parquet(inbox)
+        q.processAllAvailable()
+        late.write.mode("append").parquet(inbox)   # one more batch to emit closed windows
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    streamed = spark.table("visits").where(F.col("user_id") != 10**6)
+    batch = (bind(spark, SF).web_events
+             .groupBy("visit_id")
+             .agg(F.min("event_time").alias("s"), F.count(F.lit(1)).alias("n"),
+                  F.count(F.when(F.col("event_type") == 1, 1)).alias("v"),
+                  F.count(F.when(F.col("event_type") == 2, 1)).alias("c"),
+                  F.max(F.when(F.col("event_type") == 3, 1).otherwise(0)).alias("p"))
+             .select(F.split("visit_id", "-")[0].cast("long").alias("u"), "s", "n", "v", "c", "p"))
+    assert rows(streamed, "user_id", "visit_start", "events", "page_views", "cart_adds",
+                "purchase") == rows(batch, "u", "s", "n", "v", "c", "p")
