@@ -217,9 +217,12 @@ def cart_to_purchase_rate(t) -> DataFrame:
 def visit_campaigns(t) -> DataFrame:
     """One row per (user, visit) with counts, cart products and campaign.
 
-    Visits are aggregated first; the campaign (a fixed, small list) is then
-    looked up once per visit by its start time.  This equals the reference's
-    double range join when campaigns do not overlap.
+    Visits are aggregated first; the campaign is then looked up once per
+    visit by its start time, as an equi-join on the start day plus the range
+    test (campaigns expanded to their days), so no visit is compared with
+    every campaign and Spark decides from the measured size whether to
+    broadcast the campaign side.  This equals the reference's double range
+    join when campaigns do not overlap.
     """
     cart_product = F.when(F.col("product_id").isNotNull() & _is(CART_ADD), F.col("page_name"))
     ev = (t.users.join(t.web_events, "cookie_id")
@@ -235,4 +238,4 @@ def visit_campaigns(t) -> DataFrame:
                ordered_string_agg("_cart_product", "sequence_number").alias("cart_products")))
     camp = t.campaign_identifier.select("campaign_name", "start_date", "end_date")
     return interval_lookup(vs, "visit_start_time", camp, "start_date", "end_date",
-                           small_dim=True)
+                           small_dim=False)
