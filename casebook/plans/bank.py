@@ -22,10 +22,6 @@ DAILY_INTEREST = Decimal("0.000164")
 PERCENTILE_DIGITS = 4
 
 
-def _lit(x) -> Column:
-    return F.lit(x)
-
-
 def scan_sources(t) -> DataFrame:
     """Row count of each source table."""
     return row_counts(customer_nodes=t.customer_nodes,
@@ -195,8 +191,8 @@ def growth_share(t, intent: bool = False, threshold: Decimal = GROWTH_THRESHOLD)
 
 
 def _gb(balance: Column) -> Column:
-    return (F.when(balance.isNull() | (balance < 0), _lit(GB_BASE))
-            .otherwise(balance * _lit(GB_PER_UNIT) + _lit(GB_BASE)))
+    return (F.when(balance.isNull() | (balance < 0), F.lit(GB_BASE))
+            .otherwise(balance * F.lit(GB_PER_UNIT) + F.lit(GB_BASE)))
 
 
 def _sum_gb(df: DataFrame, gb: Column) -> DataFrame:
@@ -301,14 +297,14 @@ def alloc_running(t) -> DataFrame:
     row count.
     """
     d = _daily_running(t)
-    gb = F.when(F.col("running_bal") < 0, _lit(GB_BASE)) \
-        .otherwise(F.col("running_bal") * _lit(GB_PER_UNIT) + _lit(GB_BASE))
+    gb = F.when(F.col("running_bal") < 0, F.lit(GB_BASE)) \
+        .otherwise(F.col("running_bal") * F.lit(GB_PER_UNIT) + F.lit(GB_BASE))
     return _sum_gb(d, F.col("n_rows") * gb)
 
 
 def alloc_interest(t, daily_rate: Decimal = DAILY_INTEREST) -> DataFrame:
     """Storage from running balance x daily rate per row; negative gives 0."""
     d = _daily_running(t)
-    intr = F.col("running_bal") * _lit(daily_rate)
-    gb = F.when(intr < 0, _lit(Decimal("0"))).otherwise(intr * _lit(GB_PER_UNIT))
+    intr = F.col("running_bal") * F.lit(daily_rate)
+    gb = F.when(intr < 0, F.lit(Decimal("0"))).otherwise(intr * F.lit(GB_PER_UNIT))
     return _sum_gb(d, F.col("n_rows") * gb)

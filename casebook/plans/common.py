@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, functions as F
 
 MONEY = "decimal(38,2)"      # sums of money: wide enough not to overflow at scale
-COUNT = "bigint"
 
 
 def row_counts(**tables: DataFrame) -> DataFrame:

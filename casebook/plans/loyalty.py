@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casebook.functions import days_between
 from casebook.operators import keep_extreme, rank_by, top_k
-from casebook.plans.common import COUNT, MONEY, row_counts
+from casebook.plans.common import MONEY, row_counts
 
 # Reference literals (defaults of the parameters below).
 BONUS_PRODUCT = "sushi"
@@ -157,4 +157,4 @@ def member_ranking(t) -> DataFrame:
 
 __all__ = ["scan_sources", "total_spend", "visit_days", "first_items", "top_item",
            "popular_item", "first_after_join", "last_before_join", "spend_before_join",
-           "points", "points_join_week", "member_ranking", "COUNT"]
+           "points", "points_join_week", "member_ranking"]
