@@ -58,3 +58,14 @@ def signed_amount(kind, amount, credits: Iterable[str] = ("deposit",),
 def ci_eq(col, value: str) -> Column:
     """Case-insensitive equality, as under a case-insensitive collation (R3)."""
     return F.lower(_c(col)) == value.lower()
+
+
+def in_range(x, lo: int, hi: int) -> Column:
+    """``x BETWEEN lo AND hi`` for integers, reading ``x`` once.
+
+    ``|2x - (lo + hi)| <= hi - lo``.  A predicate that Catalyst pushes below
+    a projection inlines ``x``; in whole-stage generated filters every
+    reference is evaluated, so an expensive ``x`` (a parsed text date) is
+    then computed once instead of twice.  NULL stays NULL.
+    """
+    return F.abs(_c(x) * 2 - (lo + hi)) <= (hi - lo)

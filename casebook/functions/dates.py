@@ -46,12 +46,15 @@ def us_week_of_dmy2(s, pivot_year: int = 2049) -> Column:
     """``DATEPART(WEEK, TRY_CONVERT(date, s, 3))`` with a single parse.
 
     Same value as ``us_week(parse_dmy2(s))``; 1 January is built from the
-    text's year field, so the parsed date is referenced only once.
+    text's year field, so the parsed date is referenced only once.  The
+    century rule is one expression of the field: with the cutoff at
+    ``pivot_year``, ``(yy + 99 - pivot) % 100 + pivot_year - 99`` maps
+    00..pivot to 20xx and the rest to 19xx.
     """
     s = _c(s)
-    yy = _yy(s)
-    jan1 = F.make_date(F.when(yy <= pivot_year - 2000, yy + 2000).otherwise(yy + 1900),
-                       F.lit(1), F.lit(1))
+    low = pivot_year - 2000
+    year = (_yy(s) + (99 - low)) % 100 + (pivot_year - 99)
+    jan1 = F.make_date(year, F.lit(1), F.lit(1))
     d = parse_dmy2(s, pivot_year)
     return (F.floor((F.datediff(d, jan1) + F.dayofweek(jan1) - 1) / 7) + 1).cast("int")
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.functions import ci_eq, int_avg, int_div, parse_dmy2, pct_change, \
+from casebook.functions import ci_eq, in_range, int_avg, int_div, parse_dmy2, pct_change, \
     us_week_of_dmy2, weekday_name
 from casebook.operators import not_in_values, period_sum, unpivot_dims
 
@@ -184,7 +184,7 @@ def before_after(t, weeks=WEEKS_4, year: int | None = None,
     """
     (b_lo, b_hi), (a_lo, a_hi) = weeks
     wk = F.col("week_number")
-    df = _cws(t).where(wk.between(min(b_lo, a_lo), max(b_hi, a_hi)))
+    df = _cws(t).where(in_range(wk, min(b_lo, a_lo), max(b_hi, a_hi)))
     if year is not None:
         df = df.where(F.col("calendar_year") == year)
     s = df.agg(period_sum(_sales(), wk, b_lo, b_hi).alias("sales_before"),
@@ -233,7 +233,7 @@ def worst_area(t, weeks=WEEKS_12, year: int = CHANGE_YEAR) -> DataFrame:
     """
     (b_lo, _), (_, a_hi) = weeks
     df = _cws(t).where((F.col("calendar_year") == year)
-                       & F.col("week_number").between(b_lo, a_hi))
+                       & in_range("week_number", b_lo, a_hi))
     c = _compare(_area_sums(df, weeks, year), None, None, "sales_diff", "percent_diff", 2)
     w = Window.partitionBy("metric").orderBy(F.col("percent_diff").asc_nulls_first(),
                                              F.col("value").asc_nulls_first())
