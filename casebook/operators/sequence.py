@@ -15,7 +15,9 @@ def next_date_in_order(df: DataFrame, key: str, ts_col: str, tie_col: str,
     day for every row but the day's last one, whose next row opens the next
     non-empty day.  The window therefore runs over (key, day) rows only, whose
     number per key is bounded by the calendar span, not by the key's row
-    count; the day table is joined back on (key, day).
+    count; the day table is joined back on (key, day).  Every row finds its
+    day, so the join is written as a left join: a query that never reads
+    ``out`` lets Catalyst drop the join and the window altogether.
     """
     day = F.to_date(ts_col)
     rows = df.withColumn("_day", day)
@@ -26,6 +28,6 @@ def next_date_in_order(df: DataFrame, key: str, ts_col: str, tie_col: str,
     is_last = F.struct(F.col(ts_col), F.col(tie_col)) == F.col("_last")
     nxt = F.when(is_last, F.coalesce(F.col("_next_day"), F.to_date(F.lit(open_value)))) \
         .otherwise(F.col("_day"))
-    return (rows.join(days, [key, "_day"])
+    return (rows.join(days, [key, "_day"], "left")
             .withColumn(out, nxt)
             .drop("_day", "_last", "_next_day"))

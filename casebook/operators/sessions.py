@@ -20,7 +20,9 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, out: str,
     the last row of the user's previous non-empty bucket.  The window thus
     runs over (user, bucket) aggregates — bounded by the time span, not by
     the user's row count — and the numbers are joined back on
-    (user, bucket).  No per-user window over raw rows is needed.
+    (user, bucket).  No per-user window over raw rows is needed.  Every row
+    finds its bucket, so the join is a left join, which Catalyst removes
+    from queries that never read the session number.
     """
     if 24 % gap_hours:
         raise ValueError("gap_hours must divide 24")
@@ -39,4 +41,4 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, out: str,
                 .withColumn(out, F.sum("_open").over(
                     w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"))
                 .select(user_col, "_bucket", out))
-    return rows.join(numbered, [user_col, "_bucket"]).drop("_bucket")
+    return rows.join(numbered, [user_col, "_bucket"], "left").drop("_bucket")
