@@ -181,3 +181,42 @@ def test_bank_thirty_day_mean_balance(spark):           # D13 intent
     assert got == {(2020, 1): Decimal("1.00"), (2020, 2): Decimal("1.00"),
                    (2020, 3): Decimal("0.50"), (2020, 4): Decimal("20.50"),
                    (2021, 1): Decimal("7.90")}
+
+
+def test_mart_zero_before_and_percent_tie(spark):       # compare_edges: R9, D22
+    from casebook.sources.schemas import SCHEMAS
+    from casebook.sources.tables import LiteralTables
+    rows_ = [("6/4/20", "ASIA", "Retail", "C1", "New", 1, 0),          # week 15: before = 0
+             ("22/6/20", "ASIA", "Retail", "C1", "New", 1, 7),         # week 26
+             ("6/4/20", "OCEANIA", "Retail", "C1", "New", 1, 100),     # before 100
+             ("22/6/20", "OCEANIA", "Retail", "C1", "New", 1, 50),     # after 50: -50 %
+             ("6/4/20", "AFRICA", "Shopify", "F2", "Guest", 1, 10),    # before 10
+             ("22/6/20", "AFRICA", "Shopify", "F2", "Guest", 1, 5)]    # after 5: -50 % (tie)
+    t = LiteralTables(data_mart=spark.createDataFrame(rows_, SCHEMAS["data_mart"]))
+    area = {(m, v): (b, a, p) for m, v, b, a, _, p in rows(mart.impact_by_area(t, year=2020))}
+    assert area[("region", "ASIA")] == (0, 7, None)          # no division by zero
+    assert area[("region", "OCEANIA")] == (100, 50, Decimal("-50.00"))
+    worst = {m: (v, p) for m, v, _, _, _, p in rows(mart.worst_area(t, year=2020))}
+    assert worst["region"] == ("ASIA", None)                 # NULL percent sorts first
+    no_zero = LiteralTables(data_mart=spark.createDataFrame(rows_[2:], SCHEMAS["data_mart"]))
+    worst = {m: (v, p) for m, v, _, _, _, p in rows(mart.worst_area(no_zero, year=2020))}
+    assert worst["region"] == ("AFRICA", Decimal("-50.00"))  # tie broken by value
+
+
+def test_web_purchase_without_adds_and_campaign_end_day(spark):   # D24, R8
+    from casebook.sources.schemas import SCHEMAS
+    from casebook.sources.tables import LiteralTables
+    base = fixtures.web(spark)
+    extra = spark.createDataFrame(
+        [("v5", "c1", 1, 1, 50, dt.datetime(2024, 1, 9, 10, 0)),     # after A's last midnight
+         ("v5", "c1", 1, 3, 51, dt.datetime(2024, 1, 9, 10, 5))],    # purchase, no cart adds
+        SCHEMAS["web_events"])
+    t = LiteralTables(web_events=base.web_events.unionByName(extra), users=base.users,
+                      page_hierarchy=base.page_hierarchy,
+                      campaign_identifier=base.campaign_identifier,
+                      event_identifier=base.event_identifier)
+    top = rows(web.top_products(t, n=10))
+    assert (None, 1) in top                                   # the NULL product row is kept
+    camp = {r[0]: r[1] for r in rows(web.visit_campaigns(t), "visit_id", "campaign_name")
+            if r[0] == "v5"}
+    assert camp == {"v5": None}
