@@ -21,11 +21,12 @@ def interval_lookup(facts: DataFrame, ts_col: str, dim: DataFrame, start_col: st
                     end_col: str, small_dim: bool) -> DataFrame:
     """Left join each fact to the dim rows with ``start <= ts <= end``.
 
-    ``small_dim=True`` is for dims of fixed, known size (e.g. a literal
-    campaign list): the dim is broadcast and each fact is checked against
-    it.  Otherwise both sides get a day key — the dim one row per covered
-    day — and the join is an equi-join on the day plus the range condition,
-    so its cost grows with the matches, not with facts × dim.
+    ``small_dim=True`` is only for dims whose size is fixed by construction:
+    the dim is broadcast and each fact is checked against it.  Otherwise
+    both sides get a day key — the dim one row per covered day — and the
+    join is an equi-join on the day plus the range condition, so its cost
+    grows with the matches, not with facts × dim, and Spark broadcasts the
+    dim side only when its measured size allows.
     """
     d = dim.withColumnsRenamed({start_col: "_start", end_col: "_end"})
     if small_dim:
