@@ -2,9 +2,12 @@
 
     python -m casebook list
     python -m casebook run  <src_dir> <out_dir> [key ...]     # lazy, one job per key
+    python -m casebook run  catalog:<db> <out_dir> [key ...]  # domain tables in a catalog
     python -m casebook report {mart,web} <src_dir> <out_dir>  # materialise once, then all reports
 
-``src_dir`` holds one Parquet folder or file per source table.  Results are
+``src_dir`` holds one Parquet folder or file per source table (the test
+binding, with its parameter values); ``catalog:<db>`` reads the domain tables
+from catalog database ``db`` and keeps the reference's parameter values.  Results are
 written as Parquet to ``out_dir/<key>``.  Under ``spark-submit`` the
 cluster's own settings apply; casebook only fills unset ones.
 """
@@ -15,8 +18,9 @@ import argparse
 import sys
 
 from casebook.plans import reports
-from casebook.plans.registry import QUERIES
+from casebook.plans.registry import QUERIES, on_tables
 from casebook.session import get_spark
+from casebook.sources import bind_catalog
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -40,8 +44,11 @@ def main(argv: list[str] | None = None) -> int:
         unknown = [k for k in a.keys if k not in QUERIES]
         if unknown:
             p.error(f"unknown keys: {unknown}")
+        catalog = a.src[len("catalog:"):] if a.src.startswith("catalog:") else None
         for k in a.keys or list(QUERIES):
-            QUERIES[k](spark, a.src).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{k}")
+            df = (on_tables(k, bind_catalog(spark, catalog)) if catalog
+                  else QUERIES[k](spark, a.src))
+            df.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{k}")
             print(k)
     else:
         run = reports.run_mart if a.family == "mart" else reports.run_web

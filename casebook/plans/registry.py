@@ -1,7 +1,10 @@
 """Query keys -> callables ``(spark, sf_dir) -> DataFrame``.
 
 Parameters are bound to the values that fit the test data (FIXTURES §2.3);
-the functions' own defaults are the reference literals.
+the functions' own defaults are the reference literals.  Values marked
+``Bound`` fit the test binding only: ``on_tables`` runs a key over any
+domain tables (e.g. a catalog database) with those left at the reference
+literals.
 """
 
 from __future__ import annotations
@@ -22,14 +25,31 @@ BOUND_CHANGE_YEAR = 1998
 BOUND_MISSING_WEEKS_YEAR = 2001
 
 
+class Bound:
+    """A parameter value that fits the bound test data only."""
+
+    def __init__(self, value):
+        self.value = value
+
+
 def _q(fn, **params) -> Callable[[SparkSession, str], DataFrame]:
+    values = {k: (v.value if isinstance(v, Bound) else v) for k, v in params.items()}
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(bind(spark, sf_dir), **params)
+        return fn(bind(spark, sf_dir), **values)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
+    run.analysis = fn
+    run.portable_params = {k: v for k, v in params.items() if not isinstance(v, Bound)}
     return run
 
 
+def on_tables(key: str, tables) -> DataFrame:
+    """Run ``key`` over any domain tables with the reference's parameter values."""
+    q = QUERIES[key]
+    return q.analysis(tables, **q.portable_params)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # loyalty
     "scan_loyalty_sources": _q(loyalty.scan_sources),
@@ -42,13 +62,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loyalty_first_after_join": _q(loyalty.first_after_join),
     "loyalty_last_before_join": _q(loyalty.last_before_join),
     "loyalty_spend_before_join": _q(loyalty.spend_before_join),
-    "loyalty_points": _q(loyalty.points, bonus_product=BOUND_BONUS_PRODUCT),
+    "loyalty_points": _q(loyalty.points, bonus_product=Bound(BOUND_BONUS_PRODUCT)),
     "loyalty_points_join_week": _q(loyalty.points_join_week,
-                                   bonus_product=BOUND_BONUS_PRODUCT,
-                                   cutoff=BOUND_POINTS_CUTOFF),
+                                   bonus_product=Bound(BOUND_BONUS_PRODUCT),
+                                   cutoff=Bound(BOUND_POINTS_CUTOFF)),
     "loyalty_points_join_week_intent": _q(loyalty.points_join_week,
-                                          bonus_product=BOUND_BONUS_PRODUCT,
-                                          cutoff=BOUND_POINTS_CUTOFF, intent=True),
+                                          bonus_product=Bound(BOUND_BONUS_PRODUCT),
+                                          cutoff=Bound(BOUND_POINTS_CUTOFF), intent=True),
     "loyalty_member_ranking": _q(loyalty.member_ranking),
     # bank
     "scan_bank_sources": _q(bank.scan_sources),
@@ -76,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # mart
     "mart_clean": _q(mart.clean),
     "mart_weekday": _q(mart.weekday),
-    "mart_missing_weeks": _q(mart.missing_weeks, year=BOUND_MISSING_WEEKS_YEAR),
+    "mart_missing_weeks": _q(mart.missing_weeks, year=Bound(BOUND_MISSING_WEEKS_YEAR)),
     "mart_txn_by_year": _q(mart.txn_by_year),
     "mart_sales_region_month": _q(mart.sales_region_month),
     "mart_txn_by_platform": _q(mart.txn_by_platform),
@@ -85,21 +105,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_retail_contribution": _q(mart.retail_contribution),
     "mart_avg_transaction": _q(mart.avg_transaction),
     "mart_avg_transaction_intent": _q(mart.avg_transaction, by_platform=True),
-    "mart_change_week": _q(mart.change_week, change_date=BOUND_CHANGE_DATE,
-                           year=BOUND_CHANGE_YEAR),
+    "mart_change_week": _q(mart.change_week, change_date=Bound(BOUND_CHANGE_DATE),
+                           year=Bound(BOUND_CHANGE_YEAR)),
     "mart_before_after_4w": _q(mart.before_after, weeks=mart.WEEKS_4),
     "mart_before_after_4w_intent": _q(mart.before_after, weeks=mart.WEEKS_4,
-                                      year=BOUND_CHANGE_YEAR),
+                                      year=Bound(BOUND_CHANGE_YEAR)),
     "mart_before_after_12w": _q(mart.before_after, weeks=mart.WEEKS_12,
-                                year=BOUND_CHANGE_YEAR, diff_name="sales_diff_12w",
+                                year=Bound(BOUND_CHANGE_YEAR), diff_name="sales_diff_12w",
                                 pct_name="percent_diff_12w"),
     "mart_before_after_12w_intent": _q(mart.before_after, weeks=mart.WEEKS_12_INTENT,
-                                       year=BOUND_CHANGE_YEAR, diff_name="sales_diff_12w",
+                                       year=Bound(BOUND_CHANGE_YEAR), diff_name="sales_diff_12w",
                                        pct_name="percent_diff_12w"),
     "mart_before_after_4w_years": _q(mart.before_after_years, weeks=mart.WEEKS_4),
     "mart_before_after_12w_years": _q(mart.before_after_years, weeks=mart.WEEKS_12),
-    "mart_impact_by_area": _q(mart.impact_by_area, year=BOUND_CHANGE_YEAR),
-    "mart_worst_area": _q(mart.worst_area, year=BOUND_CHANGE_YEAR),
+    "mart_impact_by_area": _q(mart.impact_by_area, year=Bound(BOUND_CHANGE_YEAR)),
+    "mart_worst_area": _q(mart.worst_area, year=Bound(BOUND_CHANGE_YEAR)),
     # web
     "web_user_count": _q(web.user_count),
     "web_cookies_per_user": _q(web.cookies_per_user),

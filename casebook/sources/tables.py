@@ -195,6 +195,32 @@ def bind(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
 
+class CatalogTables:
+    """Domain tables read from a catalog database (``spark.table(db.name)``).
+
+    For deployments where the domain tables exist under their own names:
+    sales, menu, members, customer_nodes, regions, customer_transactions,
+    data_mart, users, web_events, event_identifier, page_hierarchy,
+    campaign_identifier.  Each is projected to the columns the analyses use
+    (``SCHEMAS``), so scans read only those columns.
+    """
+
+    def __init__(self, spark: SparkSession, database: str):
+        self.spark = spark
+        self.database = database
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        cols = [f.name for f in SCHEMAS[name].fields]
+        return self.spark.table(f"{self.database}.{name}").select(*cols)
+
+
+def bind_catalog(spark: SparkSession, database: str) -> CatalogTables:
+    """Domain tables stored in catalog database ``database``."""
+    return CatalogTables(spark, database)
+
+
 class LiteralTables:
     """Domain tables given directly as DataFrames (tests, other bindings)."""
 
