@@ -33,10 +33,14 @@ GB_BASE, GB_PER_UNIT = Decimal("0.5"), Decimal("0.02")
 
 
 def _advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """Advance one customer's balance over the days of this micro-batch.
+
+    The customer's rows arrive as Arrow batches; each is folded into per-day
+    sums at once, so memory holds one row per day, not one per transaction.
+    """
     balance = state.get[0] if state.exists else 0
-    pdf = pd.concat(list(batches), ignore_index=True)
-    days = (pdf.groupby("txn_date", sort=True)["cents"]
-            .agg(n_rows="size", net="sum").reset_index())
+    parts = [b.groupby("txn_date")["cents"].agg(n_rows="size", net="sum") for b in batches]
+    days = pd.concat(parts).groupby(level=0).sum().sort_index().reset_index()
     days["running_cents"] = balance + days["net"].cumsum()
     state.update((int(days["running_cents"].iloc[-1]),))
     days["customer_id"] = key[0]
