@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 
 def sessionize(df: DataFrame, user_col: str, ts_col: str, out: str,
@@ -27,9 +27,15 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, out: str,
     if 24 % gap_hours:
         raise ValueError("gap_hours must divide 24")
     ts = F.col(ts_col)
-    per_day = 24 // gap_hours
-    bucket = (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * per_day
-              + F.floor(F.hour(ts) / gap_hours)).cast("long")
+    if isinstance(df.schema[ts_col].dataType, T.TimestampNTZType):
+        # Wall-clock times: buckets from the day number and the hour.
+        per_day = 24 // gap_hours
+        bucket = (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * per_day
+                  + F.floor(F.hour(ts) / gap_hours)).cast("long")
+    else:
+        # Instants: buckets from epoch seconds, so a daylight-saving change
+        # in the session time zone cannot stretch a bucket past the gap.
+        bucket = F.floor(F.unix_seconds(ts) / (gap_hours * 3600)).cast("long")
     rows = df.withColumn("_bucket", bucket)
     buckets = rows.groupBy(user_col, "_bucket").agg(F.min(ts).alias("_first"),
                                                     F.max(ts).alias("_last"))

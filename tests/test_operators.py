@@ -115,3 +115,38 @@ def test_rows_at_max_and_unpivot(spark):
     wide = spark.createDataFrame([(1, "x", None)], "s int, d1 string, d2 string")
     long = unpivot_dims(wide, ["d1", "d2"], ["s"])
     assert rows(long, "metric", "value") == [("d1", "x"), ("d2", None)]
+
+
+def test_sessionize_instants_across_daylight_saving(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 2024-03-10 02:00 local does not exist; the 00:00-12:00 local bucket
+        # lasts 11 hours and the autumn one 13 hours.
+        base = dt.datetime(2024, 3, 9, 12, 0)
+        steps = [0, 3600 * 11, 3600 * 12 + 1800, 60, 3600 * 12, 3600 * 12 + 1]
+        data, t = [], base
+        for i, s in enumerate(steps):
+            t = t + dt.timedelta(seconds=s)
+            data.append((1, i, t.strftime("%Y-%m-%d %H:%M:%S")))
+        base2 = dt.datetime(2024, 11, 2, 18, 0)
+        t = base2
+        for i, s in enumerate([0, 3600 * 6, 3600 * 12, 3600 * 12 + 60, 3600 * 13]):
+            t = t + dt.timedelta(seconds=s)
+            data.append((2, 100 + i, t.strftime("%Y-%m-%d %H:%M:%S")))
+        # 00:10 EDT and 11:50 EST on the fall-back day are 12 h 40 min apart
+        # but share the local 00:00-12:00 bucket: they must be two visits.
+        data += [(3, 200, "2024-11-03 00:10:00"), (3, 201, "2024-11-03 11:50:00")]
+        df = spark.createDataFrame(data, "u int, id int, s string") \
+            .withColumn("ts", F.to_timestamp("s"))
+        w = Window.partitionBy("u").orderBy("ts", "id")
+        prev = F.lag("ts").over(w)
+        new = F.when(prev.isNull() | (F.col("ts") > prev + F.expr("INTERVAL 12 HOURS")), 1) \
+            .otherwise(0)
+        exp = df.withColumn("n", new).withColumn(
+            "v", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        got = rows(sessionize(df, "u", "ts", "v", 12), "id", "v")
+        assert got == rows(exp, "id", "v")
+        assert (201, 2) in got
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
