@@ -7,6 +7,9 @@ late an event may arrive and lets Spark close and emit a visit once no
 event can extend it.  One difference at the boundary: a session window
 closes at a gap of exactly 12 hours, where the batch rule continues the
 visit.  With microsecond event times that tie does not occur in practice.
+Session windows measure gaps between instants; wall-clock event times are
+read in the session time zone, so the batch rule is matched exactly when that
+zone has no daylight-saving changes (casebook sessions default to UTC).
 """
 
 from __future__ import annotations
