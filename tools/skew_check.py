@@ -51,7 +51,8 @@ def main() -> None:
 
     # Orders with one customer holding a third of them: running balance
     # (RANGE frame) and RANK by day, raw-row windows against casebook.
-    from casebook.operators import rank_by, running_total_by_day
+    from casebook.operators import keep_extreme, next_date_in_order, rank_by, \
+        running_total_by_day
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey"))
         .alias("c"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").cast("decimal(18,2)").alias("x"))
@@ -60,7 +61,16 @@ def main() -> None:
     ours_run = running_total_by_day(o, "c", "d", F.col("x"), "r").select("c", "d", "r")
     naive_rank = o.withColumn("k", F.rank().over(wr)).select("o_orderkey", "k")
     ours_rank = rank_by(o, ["c"], "d", "k").select("o_orderkey", "k")
-    for name, df_a, df_b in (("running", naive_run, ours_run), ("rank", naive_rank, ours_rank)):
+    wl = Window.partitionBy("c").orderBy("d", "o_orderkey")
+    naive_next = o.withColumn("e", F.coalesce(F.lead("d").over(wl), F.lit("9999-12-31")
+                                              .cast("date"))).select("o_orderkey", "e")
+    ours_next = next_date_in_order(o, "c", "d", "o_orderkey", "e").select("o_orderkey", "e")
+    naive_min = (o.withColumn("_r", F.rank().over(wr)).where(F.col("_r") == 1)
+                 .select("o_orderkey"))
+    ours_min = keep_extreme(o, ["c"], "d", "min").select("o_orderkey")
+    for name, df_a, df_b in (("running", naive_run, ours_run), ("rank", naive_rank, ours_rank),
+                             ("next_date", naive_next, ours_next),
+                             ("group_min", naive_min, ours_min)):
         spark.sparkContext.setJobGroup(f"{name}_naive", "x")
         ra = sorted(map(tuple, df_a.collect()))
         spark.sparkContext.setJobGroup(f"{name}_casebook", "x")
