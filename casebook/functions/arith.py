@@ -33,11 +33,6 @@ def ratio(a, b) -> Column:
     return _c(a).cast("double") / F.nullif(_c(b), F.lit(0)).cast("double")
 
 
-def round_half_up(x, digits: int) -> Column:
-    """``ROUND(x, digits)``, half away from zero on the decimal value."""
-    return F.round(_c(x), digits)
-
-
 def pct_change(after, before, digits: int) -> Column:
     """``ROUND(100.0 * (after - before) / NULLIF(before, 0), digits)`` as double."""
     a, b = _c(after), _c(before)
