@@ -6,5 +6,6 @@ optimises as a whole.  Nothing runs through Python UDFs.
 """
 
 from casebook.session import get_spark, checkpoint_dir  # noqa: F401
+from casebook.sources import bind, bind_catalog, materialize  # noqa: F401
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "checkpoint_dir", "bind", "bind_catalog", "materialize"]

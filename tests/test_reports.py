@@ -41,3 +41,13 @@ def test_catalog_table_roundtrip(spark):
     assert t.count() == df.count()
     drop_table(spark, "product_info_test")
     assert not spark.catalog.tableExists("product_info_test")
+
+
+def test_materialized_table_cuts_lineage(spark):
+    from casebook.plans import web
+    from casebook.sources import bind, materialize
+    t = bind(spark, SF)
+    stored = materialize(web.product_funnel(t), "product_info_lineage")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert stored.count() == web.product_funnel(t).count()
