@@ -5,7 +5,7 @@
     python -m casebook run  catalog:<db> <out_dir> [key ...]  # domain tables in a catalog
     python -m casebook report {mart,web} <src_dir> <out_dir>  # materialise once, then all reports
 
-``src_dir`` holds one Parquet folder or file per source table (the test
+``src_dir`` holds ``<table>.parquet`` (a file or a folder) per source table (the test
 binding, with its parameter values); ``catalog:<db>`` reads the domain tables
 from catalog database ``db`` and keeps the reference's parameter values.  Results are
 written as Parquet to ``out_dir/<key>``.  Under ``spark-submit`` the
