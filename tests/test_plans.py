@@ -48,3 +48,12 @@ def test_window_free_hot_key_operators(spark):
         for line in p.splitlines():
             if "Window [" in line:
                 assert "sum(" in line or "lag(" in line or "row_number" in line, line
+
+
+@pytest.mark.parametrize("key", ["bank_node_count", "bank_customers_per_region",
+                                 "web_events_by_type", "web_top_pages", "web_category_counts"])
+def test_unused_lookups_are_pruned(spark, key):
+    # Next-stay dates and visit numbers are joined back with left joins on
+    # keys that always match; keys that never read them run no window.
+    p = entry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in p, key
