@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,17 +42,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be shared storage;
-    it is read from the session and returned unchanged on every call.  Only
-    when it is unset (local tests) a scratch folder is registered once.
+    it is read from the session and returned unchanged on every call.  Where
+    it is unset, a session whose executors run inside the driver process
+    (``local[n]``: tests, trials) registers a scratch folder once; any other
+    session gets an error, because its executors would not see that folder.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
-    if base:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(base)
-        return base
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="casebook-ckpt-"))
-    return sc.getCheckpointDir()
+    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="casebook-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
