@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from casebook.session import checkpoint_dir
 
@@ -41,6 +41,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def extended(schema: T.StructType, **columns: str) -> T.StructType:
+    """A copy of ``schema`` with more columns, given as name="type"."""
+    more = [T.StructField(n, T._parse_datatype_string(k)) for n, k in columns.items()]
+    return T.StructType(schema.fields + more)
+
+
 # ---------------------------------------------------------------- text batches
 
 
@@ -80,21 +86,20 @@ def in_arrow(step: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None])
     return run
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """The runs of equal ``key`` (a bigint column) in sorted batches."""
+def groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The runs of equal ``keys`` (bigint columns without NULL) in sorted batches."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        k = batch.column(key).to_numpy()
-        cuts = np.flatnonzero(k[1:] != k[:-1]) + 1
-        if held and held[-1].column(key)[-1].as_py() != k[0]:
+        cols = [batch.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
+        if held and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, cols)):
             cuts = np.concatenate(([0], cuts))
         lo = 0
         for c in cuts.tolist():
-            part = batch.slice(lo, c - lo)
-            if part.num_rows:
-                held.append(part)
+            if c > lo:
+                held.append(batch.slice(lo, c - lo))
             if held:
                 yield pa.Table.from_batches(held)
             held, lo = [], c
