@@ -43,8 +43,8 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def extended(schema: T.StructType, **columns: str) -> T.StructType:
     """A copy of ``schema`` with more columns, given as name="type"."""
-    more = [T.StructField(n, T._parse_datatype_string(k)) for n, k in columns.items()]
-    return T.StructType(schema.fields + more)
+    more = T.StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in columns.items()))
+    return T.StructType(schema.fields + more.fields)
 
 
 # ---------------------------------------------------------------- text batches

@@ -10,13 +10,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casebook.llm import quality
+from casebook.llm import jaccard, linededup, mixing, packing, quality
+
+
+def tokenizer() -> str:
+    """The vocabulary file that the packing queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def mixing_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.mixture(_table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "source", "tokens", F.round("weight", 9).alias("weight"),
+                        "epoch", "block", "place")
+
+
+def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer())
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     rated = quality.rate(docs, _table(spark, sf_dir, "labels"))
@@ -24,8 +40,26 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("score", 6).alias("score"))
 
 
+def jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "n_text_links", "n_copies")
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup(docs).select(
+        "doc_id", "text", F.size("removed").alias("n_removed_chunks"),
+        F.expr("aggregate(removed, 0L, (n, x) -> n + x.lines)").alias("n_removed_lines"),
+        F.expr("array_join(transform(removed, x -> concat(x.begin, ':', x.end)), ',')")
+        .alias("removed_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": mixing_draws,
+    "op4_packing": packed_pieces,
     "op5_quality": quality_rules,
+    "op9_jaccard_join": jaccard_classes,
+    "op10_line_dedup": line_dedup,
 }
 
 SQL: dict[str, str] = {}
