@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casebook.llm import jaccard, linededup, mixing, packing, quality
+from casebook.llm import (ann, jaccard, linededup, mixing, packing, quality, secrets, sharding)
 
 
 def tokenizer() -> str:
@@ -29,6 +29,17 @@ def mixing_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "epoch", "block", "place")
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows.where("vec_id % 100 = 0"), rows)
+
+
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer())
 
@@ -40,6 +51,17 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("score", 6).alias("score"))
 
 
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, _ = secrets.scan_paths(docs, "text")
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *(F.size(secrets.of_kinds(spans, k)).cast("bigint").alias(f"n_{k}")
+                    for k in secrets.BASE),
+        F.sha2(secrets.spelled(secrets.of_kinds(spans, *secrets.BASE)), 256).alias("base_sha256"),
+        secrets.spelled(spans).alias("spans"))
+
+
 def jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_links", "n_text_links", "n_copies")
@@ -56,8 +78,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing_draws,
+    "op2_nearest": nearest_vectors,
+    "op3_sharding": shards,
     "op4_packing": packed_pieces,
     "op5_quality": quality_rules,
+    "op7_secrets": secret_spans,
     "op9_jaccard_join": jaccard_classes,
     "op10_line_dedup": line_dedup,
 }
