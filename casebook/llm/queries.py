@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casebook.llm import (ann, jaccard, linededup, mixing, packing, quality, secrets, sharding)
+from casebook.llm import (ann, extraction, jaccard, linededup, mixing, packing, quality, secrets,
+                          sharding, warc)
+from casebook.llm.common import scratch
 
 
 def tokenizer() -> str:
@@ -51,6 +53,11 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("score", 6).alias("score"))
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found, _ = secrets.scan_paths(docs, "text")
@@ -62,6 +69,13 @@ def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.spelled(spans).alias("spans"))
 
 
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "archive")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.restore(warc.read(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_links", "n_text_links", "n_copies")
@@ -82,7 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": shards,
     "op4_packing": packed_pieces,
     "op5_quality": quality_rules,
+    "op6_extraction": page_texts,
     "op7_secrets": secret_spans,
+    "op8_warc": warc_records,
     "op9_jaccard_join": jaccard_classes,
     "op10_line_dedup": line_dedup,
 }
