@@ -273,6 +273,18 @@ def linked(sets: list[np.ndarray], values: np.ndarray, side: np.ndarray, across:
     return out
 
 
+def _least_linked(links: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The smallest number that each text of a task reaches by links."""
+    out = np.full(len(number), -1, np.int64)
+    for seed in np.argsort(number, kind="stable").tolist():
+        if out[seed] < 0:
+            front = np.array([seed])
+            while len(front):
+                out[front] = number[seed]
+                front = np.flatnonzero(links[front].any(0) & (out < 0))
+    return out
+
+
 def _verified(docs: DataFrame, known: DataFrame, parts: DataFrame, threshold: Fraction) -> DataFrame:
     """(u, v, docs, texts) per text and task: an edge towards its group, and its links."""
     sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
@@ -308,7 +320,7 @@ def _verified(docs: DataFrame, known: DataFrame, parts: DataFrame, threshold: Fr
             has = np.flatnonzero(links.any(1))
             if len(has):
                 yield pa.record_batch({
-                    "u": number[has], "v": np.where(links, number, np.iinfo(np.int64).max).min(1)[has],
+                    "u": number[has], "v": _least_linked(links, number)[has],
                     "docs": (links[has] @ copies), "texts": links[has].sum(1)})
 
     return _tiles(members, "root", "number", "size", TEXT_BLOCK).mapInArrow(
