@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casebook.llm.common import saved
+
 # The base rules, in the order in which kinds are listed.
 # (kind, pattern, group to measure, characters it needs)
 RULES = (
@@ -88,13 +90,17 @@ def scan_paths(versions: DataFrame, content: str, ledger: DataFrame | None = Non
                ) -> tuple[DataFrame, DataFrame]:
     """(``versions`` without content but with ``spans``, the new ledger rows).
 
-    Spans of a blob seen earlier come from the ledger.
+    The new rows are written before they are joined, so that a later failure
+    repeats no scan and a blob with very many paths is an ordinary join that
+    Spark can split.  Spans of a blob seen earlier come from the ledger.
     """
-    fresh = scan(versions, content, ledger)
-    known = fresh if ledger is None else fresh.unionByName(
-        ledger.where(F.col("rules") == VERSION).select(*fresh.columns))
-    hits = known.where(F.size("spans") > 0).select(
-        F.col("blob").alias("_hit"), F.col("spans").alias("_spans")).dropDuplicates(["_hit"])
+    fresh = saved(scan(versions, content, ledger), "ledger")
+    known = fresh
+    if ledger is not None:
+        old = ledger.where(F.col("rules") == VERSION).select(*fresh.columns)
+        known = saved(fresh.unionByName(old).dropDuplicates(["blob"]), "known")
+    hits = known.where(F.size("spans") > 0).select(F.col("blob").alias("_hit"),
+                                                   F.col("spans").alias("_spans"))
     plain = [c for c in versions.columns if c not in (content, "spans")]
     paths = versions.select(*(f"`{c}`" for c in plain), blob(F.col(content).cast("string")).alias("_blob"))
     joined = paths.join(hits, F.col("_blob") == F.col("_hit"), "left")
