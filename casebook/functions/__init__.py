@@ -5,5 +5,5 @@ from casebook.functions.dates import (  # noqa: F401
     year_month,
 )
 from casebook.functions.arith import (  # noqa: F401
-    ci_eq, in_range, int_avg, int_div, pct_change, ratio, signed_amount,
+    ci_eq, int_avg, int_div, pct_change, ratio, signed_amount,
 )

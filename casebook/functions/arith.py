@@ -12,14 +12,9 @@ def _c(x) -> Column:
 
 
 def int_div(a, b) -> Column:
-    """Integer ``a / b`` truncating toward zero, NULL when ``b`` is 0 (R1, R9).
-
-    ``a - a % b`` is an exact multiple of ``b`` (the remainder takes the sign
-    of ``a``), so the decimal quotient below is exact and the cast loses nothing.
-    """
-    a, b = _c(a).cast("bigint"), F.nullif(_c(b).cast("bigint"), F.lit(0))
-    q = (a - a % b).cast("decimal(38,0)") / b.cast("decimal(38,0)")
-    return q.cast("bigint")
+    """Integer ``a / b`` truncating toward zero, NULL when ``b`` is 0 (R1, R9)."""
+    return F.call_function("div", _c(a).cast("bigint"),
+                           F.nullif(_c(b).cast("bigint"), F.lit(0)))
 
 
 def int_avg(x) -> Column:
@@ -43,24 +38,16 @@ def pct_change(after, before, digits: int) -> Column:
 def signed_amount(kind, amount, credits: Iterable[str] = ("deposit",),
                   debits: Iterable[str] = ("withdrawal", "purchase"),
                   other=0) -> Column:
-    """Amount with sign by transaction kind; other kinds give ``other``."""
-    k, a = _c(kind), _c(amount)
+    """Amount with sign by transaction kind; other kinds, NULL too, give ``other``.
+
+    Kinds are compared without regard to case (R3).
+    """
+    k, a, other = F.lower(_c(kind)), _c(amount), _c(other) if isinstance(other, str) else other
     return (F.when(k.isin(*credits), a)
             .when(k.isin(*debits), -a)
-            .otherwise(F.lit(other)))
+            .otherwise(other if isinstance(other, Column) else F.lit(other)))
 
 
 def ci_eq(col, value: str) -> Column:
     """Case-insensitive equality, as under a case-insensitive collation (R3)."""
     return F.lower(_c(col)) == value.lower()
-
-
-def in_range(x, lo: int, hi: int) -> Column:
-    """``x BETWEEN lo AND hi`` for integers, reading ``x`` once.
-
-    ``|2x - (lo + hi)| <= hi - lo``.  A predicate that Catalyst pushes below
-    a projection inlines ``x``; in whole-stage generated filters every
-    reference is evaluated, so an expensive ``x`` (a parsed text date) is
-    then computed once instead of twice.  NULL stays NULL.
-    """
-    return F.abs(_c(x) * 2 - (lo + hi)) <= (hi - lo)

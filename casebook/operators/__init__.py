@@ -10,7 +10,7 @@ adaptive skew-join handling can split).
 """
 
 from casebook.operators.ranking import (  # noqa: F401
-    keep_extreme, rank_by, rows_at_max, top_k,
+    first_ranked, join_back, keep_extreme, rank_by, rows_at_max, top_k,
 )
 from casebook.operators.sequence import next_date_in_order  # noqa: F401
 from casebook.operators.sessions import sessionize  # noqa: F401

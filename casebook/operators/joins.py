@@ -18,26 +18,24 @@ def membership_flag(df: DataFrame, keys: DataFrame, key: str, flag: str) -> Data
 
 
 def interval_lookup(facts: DataFrame, ts_col: str, dim: DataFrame, start_col: str,
-                    end_col: str, small_dim: bool) -> DataFrame:
+                    end_col: str) -> DataFrame:
     """Left join each fact to the dim rows with ``start <= ts <= end``.
 
-    ``small_dim=True`` is only for dims whose size is fixed by construction:
-    the dim is broadcast and each fact is checked against it.  Otherwise
-    both sides get a day key — the dim one row per covered day — and the
-    join is an equi-join on the day plus the range condition, so its cost
-    grows with the matches, not with facts × dim, and Spark broadcasts the
-    dim side only when its measured size allows.
+    Both sides get a day key and meet in an equi-join plus the range
+    condition, so the cost grows with the matches, not with facts x dim.
+    The days that occur among the facts are found first, and an interval is
+    expanded to its days between the first and the last of those only; an
+    open end such as 9999-12-31 costs no more than the facts' own span.
     """
     d = dim.withColumnsRenamed({start_col: "_start", end_col: "_end"})
-    if small_dim:
-        cond = F.col(ts_col).between(F.col("_start"), F.col("_end"))
-        out = facts.join(F.broadcast(d), cond, "left")
-    else:
-        d = d.withColumn("_day", F.explode(F.sequence(F.to_date("_start"),
-                                                      F.to_date("_end"))))
-        f = facts.withColumn("_day", F.to_date(ts_col))
-        cond = (f["_day"] == d["_day"]) & f[ts_col].between(d["_start"], d["_end"])
-        out = f.join(d, cond, "left").drop(f["_day"]).drop(d["_day"])
+    span = facts.agg(F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi"))
+    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    d = (d.withColumn("_from", F.greatest(F.to_date("_start"), lo))
+         .withColumn("_to", F.least(F.to_date("_end"), hi)).where("_from <= _to")
+         .withColumn("_day", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to"))
+    f = facts.withColumn("_day", F.to_date(ts_col))
+    cond = (f["_day"] == d["_day"]) & f[ts_col].between(d["_start"], d["_end"])
+    out = f.join(d, cond, "left").drop(f["_day"]).drop(d["_day"])
     return out.drop("_start", "_end")
 
 

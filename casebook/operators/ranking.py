@@ -41,6 +41,18 @@ def rank_by(df: DataFrame, keys: Sequence[str], order_col: str, out: str,
     return join_back(df, ranked, [*keys, order_col])
 
 
+def first_ranked(df: DataFrame, keys: Sequence[str], order: Column,
+                 dense: bool = False) -> DataFrame:
+    """Rows at rank 1 of their group by ``order``; ties kept.
+
+    ``RANK() = 1`` (``DENSE_RANK() = 1`` if ``dense``) reads its input once and
+    shuffles it once.  Spark plans a ``WindowGroupLimit`` below the shuffle, so
+    a task sends only the rows that are first among its own rows of a group.
+    """
+    rank = (F.dense_rank() if dense else F.rank()).over(Window.partitionBy(*keys).orderBy(order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
 def keep_extreme(df: DataFrame, keys: Sequence[str], value_col: str,
                  how: str = "min") -> DataFrame:
     """Rows whose ``value_col`` equals the group's min (or max); ties kept.

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.functions import days_between, int_avg, month_name, signed_amount
+from casebook.functions import ci_eq, days_between, int_avg, month_name, ratio, signed_amount
 from casebook.operators import running_total_by_day
 from casebook.plans.common import MONEY, row_counts
 
@@ -42,7 +42,8 @@ def nodes_per_region(t) -> DataFrame:
     pairs = t.customer_nodes.select("region_id", "node_id").distinct()
     return (pairs.join(t.regions, "region_id")
             .groupBy("region_name")
-            .agg(F.countDistinct("node_id").alias("nb_of_nodes_region")))
+            .agg(F.countDistinct("node_id").alias("nb_of_nodes_region"))
+            .orderBy("region_name"))
 
 
 def customers_per_region(t) -> DataFrame:
@@ -50,7 +51,8 @@ def customers_per_region(t) -> DataFrame:
     per = (t.customer_nodes.groupBy("region_id")
            .agg(F.countDistinct("customer_id").alias("nb_of_cus_region")))
     return (per.join(t.regions, "region_id")
-            .select("region_id", "region_name", "nb_of_cus_region"))
+            .select("region_id", "region_name", "nb_of_cus_region")
+            .orderBy("region_id"))
 
 
 def _closed_stays(t) -> DataFrame:
@@ -89,14 +91,14 @@ def realloc_percentiles(t, percentiles: dict[str, float] | None = None) -> DataF
 
 def txn_type_totals(t) -> DataFrame:
     """Row count and amount per transaction type."""
-    return (t.customer_transactions.groupBy("txn_type")
+    return (t.customer_transactions.groupBy(F.lower("txn_type").alias("txn_type"))
             .agg(F.count("txn_type").alias("unique_count"),
                  F.sum("txn_amount").cast(MONEY).alias("total_amount")))
 
 
 def deposit_averages(t) -> DataFrame:
     """Mean per-customer deposit count (integer mean) and amount (rounded)."""
-    per = (t.customer_transactions.where(F.col("txn_type") == "deposit")
+    per = (t.customer_transactions.where(ci_eq("txn_type", "deposit"))
            .groupBy("customer_id")
            .agg(F.count("txn_type").alias("total_txn"),
                 F.sum("txn_amount").alias("amount_transacted")))
@@ -111,7 +113,7 @@ def _month_keys(d: str, with_year: bool) -> list[Column]:
 
 
 def _kind_count(kind: str) -> Column:
-    return F.sum(F.when(F.col("txn_type") == kind, 1).otherwise(0))
+    return F.sum(F.when(ci_eq("txn_type", kind), 1).otherwise(0))
 
 
 def active_customers_month(t, intent: bool = False) -> DataFrame:
@@ -132,17 +134,24 @@ def active_customers_month(t, intent: bool = False) -> DataFrame:
     else:
         ok = (F.col("d") > 1) & (F.col("w") > 1) & (F.col("p") > 1)
         group = ["month_no", "month_name"]
-    return per.where(ok).groupBy(*group).agg(F.count(F.lit(1)).alias("active_cus"))
+    return (per.where(ok).groupBy(*group).agg(F.count(F.lit(1)).alias("active_cus"))
+            .orderBy(*group))
 
 
 def _signed() -> Column:
+    """Deposits in, withdrawals and purchases out, any other kind nothing (running balances)."""
     return signed_amount("txn_type", "txn_amount")
 
 
+def _signed_net() -> Column:
+    """Withdrawals and purchases out, every other kind in (monthly nets)."""
+    return signed_amount("txn_type", "txn_amount", other="txn_amount")
+
+
 def _monthly_net(t, with_year: bool) -> DataFrame:
     return (t.customer_transactions
             .groupBy("customer_id", *_month_keys("txn_date", with_year))
-            .agg(F.sum(_signed()).alias("net")))
+            .agg(F.sum(_signed_net()).alias("net")))
 
 
 def _closing(monthly: DataFrame) -> DataFrame:
@@ -162,7 +171,7 @@ def month_net(t, intent: bool = False) -> DataFrame:
         m = _closing(m)
     cols = ["customer_id"] + (["year_no"] if intent else []) + ["month_no"]
     return m.select(*cols, F.col("month_name").alias("month_num"),
-                    F.col("net").cast(MONEY).alias("Mth_end_balance"))
+                    F.col("net").cast(MONEY).alias("Mth_end_balance")).orderBy(*cols)
 
 
 def growth_share(t, intent: bool = False, threshold: Decimal = GROWTH_THRESHOLD) -> DataFrame:
@@ -186,8 +195,7 @@ def growth_share(t, intent: bool = False, threshold: Decimal = GROWTH_THRESHOLD)
             & ((F.col("net") - F.col("_prev")) > F.lit(threshold) * F.abs(F.col("_prev"))))
     num = m.where(rise).agg(F.countDistinct("customer_id").alias("_num"))
     den = t.customer_nodes.agg(F.countDistinct("customer_id"))
-    return num.select(F.round(F.col("_num").cast("double") / den.scalar().cast("double"), 6)
-                      .alias("growth"))
+    return num.select(F.round(ratio(F.col("_num"), den.scalar()), 6).alias("growth"))
 
 
 def _gb(balance: Column) -> Column:
@@ -197,7 +205,8 @@ def _gb(balance: Column) -> Column:
 
 def _sum_gb(df: DataFrame, gb: Column) -> DataFrame:
     return (df.groupBy("month_no", "month_name")
-            .agg(F.sum(gb).cast(MONEY).alias("total_data_allocated_gb")))
+            .agg(F.sum(gb).cast(MONEY).alias("total_data_allocated_gb"))
+            .orderBy("month_no"))
 
 
 def alloc_prev_month(t) -> DataFrame:
@@ -213,7 +222,7 @@ def alloc_prev_month(t) -> DataFrame:
 
 def alloc_avg_deposit(t) -> DataFrame:
     """The same rule on the previous present month's mean deposit amount."""
-    m = (t.customer_transactions.where(F.col("txn_type") == "deposit")
+    m = (t.customer_transactions.where(ci_eq("txn_type", "deposit"))
          .groupBy("customer_id", *_month_keys("txn_date", False))
          .agg(F.avg("txn_amount").alias("avg_bal")))
     prev = F.lag("avg_bal").over(Window.partitionBy("customer_id").orderBy("month_no"))
@@ -280,7 +289,8 @@ def alloc_avg_balance(t, window_days: int = 30) -> DataFrame:
     return (per.groupBy(F.year("s").cast("int").alias("year_no"),
                         F.month("s").cast("int").alias("month_no"),
                         month_name("s").alias("month_name"))
-            .agg(F.round(gb, 2).cast(MONEY).alias("total_data_allocated_gb")))
+            .agg(F.round(gb, 2).cast(MONEY).alias("total_data_allocated_gb"))
+            .orderBy("year_no", "month_no"))
 
 
 def _daily_running(t) -> DataFrame:

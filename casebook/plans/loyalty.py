@@ -6,8 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.functions import days_between
-from casebook.operators import keep_extreme, rank_by, top_k
+from casebook.functions import ci_eq, days_between
+from casebook.operators import first_ranked, rank_by, top_k
 from casebook.plans.common import MONEY, row_counts
 
 # Reference literals (defaults of the parameters below).
@@ -26,20 +26,22 @@ def total_spend(t) -> DataFrame:
     """Spend per customer; sales of unknown products add NULL (left join)."""
     return (t.sales.join(t.menu, "product_id", "left")
             .groupBy("customer_id")
-            .agg(F.sum("price").cast(MONEY).alias("spent_amount")))
+            .agg(F.sum("price").cast(MONEY).alias("spent_amount"))
+            .orderBy("customer_id"))
 
 
 def visit_days(t) -> DataFrame:
     """Distinct order dates per customer."""
     return (t.sales.groupBy("customer_id")
-            .agg(F.countDistinct("order_date").alias("count_days_cus_visited")))
+            .agg(F.countDistinct("order_date").alias("count_days_cus_visited"))
+            .orderBy("customer_id"))
 
 
 def first_items(t) -> DataFrame:
     """Distinct products bought on each customer's first order date."""
     lines = t.sales.join(t.menu, "product_id")
-    return (keep_extreme(lines, ["customer_id"], "order_date", "min")
-            .select("customer_id", "product_name").distinct())
+    first = first_ranked(lines, ["customer_id"], F.asc_nulls_first("order_date"), dense=True)
+    return first.select("customer_id", "product_name").distinct().orderBy("customer_id")
 
 
 def top_item(t) -> DataFrame:
@@ -60,7 +62,7 @@ def popular_item(t, most: bool = False) -> DataFrame:
     counts = (t.sales.join(t.menu, "product_id")
               .groupBy("customer_id", "product_name")
               .agg(F.count(F.lit(1)).alias("_n")))
-    return (keep_extreme(counts, ["customer_id"], "_n", "max" if most else "min")
+    return (first_ranked(counts, ["customer_id"], F.desc("_n") if most else F.asc("_n"))
             .select("customer_id", "product_name"))
 
 
@@ -75,19 +77,15 @@ def first_after_join(t) -> DataFrame:
 
     One row per sale line of that date (duplicates kept).
     """
-    first = (_member_lines(t, before=False).groupBy("customer_id")
-             .agg(F.min("order_date").alias("order_date")))
-    return (t.sales.join(t.menu, "product_id")
-            .join(first, ["customer_id", "order_date"])
+    first = first_ranked(_member_lines(t, before=False), ["customer_id"], F.asc("order_date"))
+    return (first.join(t.menu, "product_id")
             .select("customer_id", F.col("product_name").alias("first_item_purchased")))
 
 
 def last_before_join(t) -> DataFrame:
     """Items of each member's last order date strictly before joining."""
-    last = (_member_lines(t, before=True).groupBy("customer_id")
-            .agg(F.max("order_date").alias("order_date")))
-    return (t.sales.join(t.menu, "product_id")
-            .join(last, ["customer_id", "order_date"])
+    last = first_ranked(_member_lines(t, before=True), ["customer_id"], F.desc("order_date"))
+    return (last.join(t.menu, "product_id")
             .select("customer_id", F.col("product_name").alias("purchased_item_before_join")))
 
 
@@ -103,7 +101,7 @@ def spend_before_join(t) -> DataFrame:
 
 def _base_points(bonus_product: str):
     p = F.col("price")
-    return F.when(F.col("product_name") == bonus_product,
+    return F.when(ci_eq("product_name", bonus_product),
                   p * (POINTS_PER_UNIT * BONUS_FACTOR)).otherwise(p * POINTS_PER_UNIT)
 
 
@@ -111,7 +109,8 @@ def points(t, bonus_product: str = BONUS_PRODUCT) -> DataFrame:
     """10 points per unit spent, doubled for the bonus product."""
     return (t.sales.join(t.menu, "product_id")
             .groupBy("customer_id")
-            .agg(F.sum(_base_points(bonus_product)).cast(MONEY).alias("cus_point")))
+            .agg(F.sum(_base_points(bonus_product)).cast(MONEY).alias("cus_point"))
+            .orderBy("customer_id"))
 
 
 def points_join_week(t, bonus_product: str = BONUS_PRODUCT,
@@ -143,16 +142,15 @@ def member_ranking(t) -> DataFrame:
     ``ranking`` is ``RANK() OVER (PARTITION BY customer_id, member_status
     ORDER BY order_date)`` for 'Y' lines and NULL for 'N' lines.
     """
-    lines = (t.sales.join(t.menu, "product_id", "left")
-             .join(t.members, "customer_id", "left")
-             .select("customer_id", "order_date", "product_name", "price",
+    lines = (t.sales.join(t.members, "customer_id", "left")
+             .select("customer_id", "order_date", "product_id",
                      F.when(F.col("join_date") <= F.col("order_date"), "Y")
                      .otherwise("N").alias("member_status")))
     ranked = rank_by(lines, ["customer_id", "member_status"], "order_date", "_rank")
-    return ranked.select("customer_id", "order_date", "product_name", "price",
-                         "member_status",
-                         F.when(F.col("member_status") == "N", F.lit(None).cast("int"))
-                         .otherwise(F.col("_rank")).alias("ranking"))
+    return (ranked.join(t.menu, "product_id", "left")
+            .select("customer_id", "order_date", "product_name", "price", "member_status",
+                    F.when(F.col("member_status") == "N", F.lit(None).cast("int"))
+                    .otherwise(F.col("_rank")).alias("ranking")))
 
 
 __all__ = ["scan_sources", "total_spend", "visit_days", "first_items", "top_item",

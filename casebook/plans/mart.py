@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.functions import ci_eq, in_range, int_avg, int_div, parse_dmy2, pct_change, \
+from casebook.functions import ci_eq, int_avg, int_div, parse_dmy2, pct_change, ratio, \
     us_week_of_dmy2, weekday_name
 from casebook.operators import not_in_values, period_sum, unpivot_dims
 
@@ -58,12 +58,20 @@ def _cws(t) -> DataFrame:
     return cws if cws is not None else clean(t)
 
 
+def _ci(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with one spelling per value of ``columns`` that differs in case only (R3).
+
+    The first letters are capital, as in the reference's own literals.
+    """
+    return df.withColumns({c: F.initcap(c) for c in columns})
+
+
 def _sales() -> Column:
     return F.col("sales").cast("bigint")
 
 
 def _share(part: Column, total: Column, digits: int, typ: str) -> Column:
-    return F.round(F.lit(100.0) * part.cast("double") / total.cast("double"), digits).cast(typ)
+    return F.round(F.lit(100.0) * ratio(part, total), digits).cast(typ)
 
 
 def weekday(t) -> DataFrame:
@@ -87,17 +95,19 @@ def missing_weeks(t, year: int | None = None, n_weeks: int = N_WEEKS) -> DataFra
 
 def txn_by_year(t) -> DataFrame:
     return (_cws(t).groupBy("calendar_year")
-            .agg(F.sum("transactions").cast("bigint").alias("total_transactions")))
+            .agg(F.sum("transactions").cast("bigint").alias("total_transactions"))
+            .orderBy("calendar_year"))
 
 
 def sales_region_month(t) -> DataFrame:
     """Sales per month number (years pooled) and region."""
     return (_cws(t).groupBy("month_number", "region")
-            .agg(F.sum(_sales()).alias("total_sales_region_month")))
+            .agg(F.sum(_sales()).alias("total_sales_region_month"))
+            .orderBy("month_number", "region"))
 
 
 def txn_by_platform(t) -> DataFrame:
-    return (_cws(t).groupBy("platform")
+    return (_ci(_cws(t), "platform").groupBy("platform")
             .agg(F.sum("transactions").cast("bigint").alias("total_count_of_transaction")))
 
 
@@ -115,7 +125,8 @@ def platform_share(t) -> DataFrame:
             .agg(_share(F.max(F.when(ci_eq("platform", "Retail"), F.col("monthly_sales"))),
                         tot, 2, SHARE_TYPE).alias("retail"),
                  _share(F.max(F.when(ci_eq("platform", "Shopify"), F.col("monthly_sales"))),
-                        tot, 2, SHARE_TYPE).alias("shopify")))
+                        tot, 2, SHARE_TYPE).alias("shopify"))
+            .orderBy("calendar_year", "month_number"))
 
 
 def demographic_share(t) -> DataFrame:
@@ -145,7 +156,8 @@ def retail_contribution(t, platform: str = "retail") -> DataFrame:
     total = g.agg(F.sum("total_sales")).scalar()
     return g.select("age_band", "demographic", "total_sales",
                     _share(F.col("total_sales"), total, 1, PCT_TYPE)
-                    .alias("percent_contributions"))
+                    .alias("percent_contributions")).orderBy(F.desc("total_sales"),
+                                                             "age_band", "demographic")
 
 
 def avg_transaction(t, by_platform: bool = False) -> DataFrame:
@@ -154,10 +166,11 @@ def avg_transaction(t, by_platform: bool = False) -> DataFrame:
     ``by_platform=True`` adds the platform split the question asks for.
     """
     keys = ["calendar_year"] + (["platform"] if by_platform else [])
-    ratio = F.lit(1.0) * F.sum(_sales()).cast("double") / F.sum("transactions").cast("double")
-    return (_cws(t).groupBy(*keys)
+    per_txn = ratio(F.sum(_sales()), F.sum("transactions"))
+    return (_ci(_cws(t), "platform").groupBy(*keys)
             .agg(int_avg("avg_transactions").cast(PCT_TYPE).alias("incorrect_avg_method"),
-                 F.round(ratio, 2).cast(PCT_TYPE).alias("avg_txn")))
+                 F.round(per_txn, 2).cast(PCT_TYPE).alias("avg_txn"))
+            .orderBy(*keys))
 
 
 def change_week(t, change_date: dt.date = CHANGE_DATE, year: int = CHANGE_YEAR) -> DataFrame:
@@ -184,7 +197,7 @@ def before_after(t, weeks=WEEKS_4, year: int | None = None,
     """
     (b_lo, b_hi), (a_lo, a_hi) = weeks
     wk = F.col("week_number")
-    df = _cws(t).where(in_range(wk, min(b_lo, a_lo), max(b_hi, a_hi)))
+    df = _cws(t).where(wk.between(min(b_lo, a_lo), max(b_hi, a_hi)))
     if year is not None:
         df = df.where(F.col("calendar_year") == year)
     s = df.agg(period_sum(_sales(), wk, b_lo, b_hi).alias("sales_before"),
@@ -200,12 +213,12 @@ def before_after_years(t, weeks=WEEKS_4) -> DataFrame:
          .agg(period_sum(_sales(), wk, b_lo, b_hi).alias("sales_before"),
               period_sum(_sales(), wk, a_lo, a_hi).alias("sales_after")))
     return _compare(s, F.col("sales_before"), F.col("sales_after"),
-                    "sales_diff_year", "percent_diff_12w", 1)
+                    "sales_diff_year", "percent_diff_12w", 1).orderBy("calendar_year")
 
 
 def _area_sums(df: DataFrame, weeks, year: int) -> DataFrame:
     (b_lo, b_hi), (a_lo, a_hi) = weeks
-    long = unpivot_dims(df, AREA_DIMS, ["calendar_year", "week_number", "sales"])
+    long = unpivot_dims(_ci(df, "platform", "customer_type"), AREA_DIMS, ["calendar_year", "week_number", "sales"])
     in_year = F.col("calendar_year") == year
     wk = F.col("week_number")
     return (long.groupBy("metric", "value")
@@ -222,7 +235,7 @@ def impact_by_area(t, weeks=WEEKS_12, year: int = CHANGE_YEAR) -> DataFrame:
     sums.
     """
     return _compare(_area_sums(_cws(t), weeks, year), None, None,
-                    "sales_diff", "percent_diff", 2)
+                    "sales_diff", "percent_diff", 2).orderBy("percent_diff", "metric", "value")
 
 
 def worst_area(t, weeks=WEEKS_12, year: int = CHANGE_YEAR) -> DataFrame:
@@ -233,8 +246,9 @@ def worst_area(t, weeks=WEEKS_12, year: int = CHANGE_YEAR) -> DataFrame:
     """
     (b_lo, _), (_, a_hi) = weeks
     df = _cws(t).where((F.col("calendar_year") == year)
-                       & in_range("week_number", b_lo, a_hi))
+                       & F.col("week_number").between(b_lo, a_hi))
     c = _compare(_area_sums(df, weeks, year), None, None, "sales_diff", "percent_diff", 2)
     w = Window.partitionBy("metric").orderBy(F.col("percent_diff").asc_nulls_first(),
                                              F.col("value").asc_nulls_first())
-    return c.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return (c.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+            .orderBy("percent_diff", "metric"))

@@ -40,6 +40,7 @@ def _q(fn, **params) -> Callable[[SparkSession, str], DataFrame]:
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     run.analysis = fn
+    run.params = values
     run.portable_params = {k: v for k, v in params.items() if not isinstance(v, Bound)}
     return run
 
@@ -96,7 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # mart
     "mart_clean": _q(mart.clean),
     "mart_weekday": _q(mart.weekday),
-    "mart_missing_weeks": _q(mart.missing_weeks, year=Bound(BOUND_MISSING_WEEKS_YEAR)),
+    "mart_missing_weeks": _q(mart.missing_weeks),
+    "mart_missing_weeks_year": _q(mart.missing_weeks, year=Bound(BOUND_MISSING_WEEKS_YEAR)),
     "mart_txn_by_year": _q(mart.txn_by_year),
     "mart_sales_region_month": _q(mart.sales_region_month),
     "mart_txn_by_platform": _q(mart.txn_by_platform),

@@ -1,79 +1,83 @@
-"""Report jobs: materialise the shared intermediate table once, then run
-every analysis of a family against it.
-
-This is how the families run at scale.  The weekly mart is cleaned once
-into ``clean_weekly_sales``, laid out by ``calendar_year`` so the
-year-filtered comparisons read only their year's files, and the clickstream
-funnel is stored once as ``product_info`` for the five reports that read it.
-Each result is written to ``out_dir/<key>``.  The intermediate tables live
-under the shared checkpoint folder, which also cuts the lineage: a lost
-executor recomputes from the stored table, not from the raw sources.
+"""Report jobs: store a family's shared tables once, then write all its keys.
+
+This is how the families run at scale, over any domain tables (the test
+binding or a catalog database).  The weekly mart is cleaned once into
+``clean_weekly_sales``, laid out by ``calendar_year`` so that comparisons of a
+year read only its files; the clickstream is cut into visits once, and its
+product funnel stored once for the keys that read it.  Stored tables live in a
+folder of their own per run under the shared checkpoint folder, which also cuts
+the lineage: a lost executor recomputes from the stored table, not from the raw
+sources.  Each result is written to ``out_dir/<key>``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import inspect
+
+from pyspark.sql import DataFrame
 
 from casebook.plans import mart, web
-from casebook.plans.registry import (
-    BOUND_CHANGE_DATE, BOUND_CHANGE_YEAR, BOUND_MISSING_WEEKS_YEAR,
-)
-from casebook.sources import bind, materialize
-from casebook.sources.tables import LiteralTables
-
-
-def mart_reports(t) -> dict[str, DataFrame]:
-    """All weekly-mart reports over tables ``t`` that carry ``clean_weekly_sales``."""
-    y = BOUND_CHANGE_YEAR
-    return {
-        "mart_weekday": mart.weekday(t),
-        "mart_missing_weeks": mart.missing_weeks(t, year=BOUND_MISSING_WEEKS_YEAR),
-        "mart_txn_by_year": mart.txn_by_year(t),
-        "mart_sales_region_month": mart.sales_region_month(t),
-        "mart_txn_by_platform": mart.txn_by_platform(t),
-        "mart_platform_share": mart.platform_share(t),
-        "mart_demographic_share": mart.demographic_share(t),
-        "mart_retail_contribution": mart.retail_contribution(t),
-        "mart_avg_transaction": mart.avg_transaction(t),
-        "mart_change_week": mart.change_week(t, change_date=BOUND_CHANGE_DATE, year=y),
-        "mart_before_after_4w": mart.before_after(t, weeks=mart.WEEKS_4),
-        "mart_before_after_12w": mart.before_after(t, weeks=mart.WEEKS_12, year=y,
-                                                   diff_name="sales_diff_12w",
-                                                   pct_name="percent_diff_12w"),
-        "mart_before_after_4w_years": mart.before_after_years(t, weeks=mart.WEEKS_4),
-        "mart_before_after_12w_years": mart.before_after_years(t, weeks=mart.WEEKS_12),
-        "mart_impact_by_area": mart.impact_by_area(t, year=y),
-        "mart_worst_area": mart.worst_area(t, year=y),
-    }
-
-
-def web_reports(t) -> dict[str, DataFrame]:
-    """Reports over the stored product funnel (``t.product_info``)."""
-    return {
-        "web_product_leaders": web.product_leaders(t),
-        "web_most_abandoned": web.most_abandoned(t),
-        "web_view_to_purchase": web.view_to_purchase(t),
-        "web_view_to_cart_rate": web.view_to_cart_rate(t),
-        "web_cart_to_purchase_rate": web.cart_to_purchase_rate(t),
-    }
-
-
-def run_mart(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]:
-    """Clean the weekly table once (by year), then write every mart report."""
-    src = bind(spark, sf_dir)
-    cws = materialize(mart.clean(src), "clean_weekly_sales", partition_by=["calendar_year"])
-    return _write(mart_reports(LiteralTables(clean_weekly_sales=cws)), out_dir)
-
-
-def run_web(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]:
-    """Store the product funnel once, then write the reports that read it."""
-    src = bind(spark, sf_dir)
-    info = materialize(web.product_funnel(src), "product_info")
-    written = _write({"web_product_funnel": info}, out_dir)
-    return written + _write(web_reports(LiteralTables(product_info=info)), out_dir)
-
-
-def _write(results: dict[str, DataFrame], out_dir: str) -> list[str]:
+from casebook.plans.registry import QUERIES
+from casebook.sources import materialize
+
+FAMILIES = ("loyalty", "bank", "mart", "web")
+
+
+class Stored:
+    """Domain tables with some of them replaced by stored ones."""
+
+    def __init__(self, tables, **stored: DataFrame):
+        self._tables = tables
+        for name, df in stored.items():
+            setattr(self, name, df)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return getattr(self._tables, name)
+
+
+def keys_of(family: str) -> list[str]:
+    """The registered keys of a family, in registry order."""
+    return [k for k in QUERIES if k.startswith((f"{family}_", f"scan_{family}_"))]
+
+
+def stored(tables, family: str) -> Stored:
+    """``tables`` with the family's shared tables written and read back."""
+    if family == "mart":
+        return Stored(tables, clean_weekly_sales=materialize(
+            mart.clean(tables), "clean_weekly_sales", partition_by=["calendar_year"]))
+    if family == "web":
+        events = Stored(tables, web_events=materialize(tables.web_events, "web_events"))
+        return Stored(events, product_info=materialize(web.product_funnel(events), "product_info"))
+    return Stored(tables)
+
+
+def reports(tables: Stored, family: str, bound: bool = False, **params) -> dict[str, DataFrame]:
+    """Every key of the family over ``tables``.
+
+    ``bound`` takes the parameter values that fit the test binding; otherwise
+    they are the reference's.  ``params`` (say ``change_year=2021``) override
+    both, in every analysis that has a parameter of that name; ``change_year``
+    stands for the ``year`` of the keys that have one set.
+    """
+    out = {}
+    for key in keys_of(family):
+        q = QUERIES[key]
+        values = dict(q.params if bound else q.portable_params)
+        known = inspect.signature(q.analysis).parameters
+        values |= {k: v for k, v in params.items() if k in known and k != "year"}
+        if "change_year" in params and "year" in q.params and key != "mart_missing_weeks_year":
+            values["year"] = params["change_year"]
+        out[key] = q.analysis(tables, **values)
+    if "mart_clean" in out:
+        out["mart_clean"] = tables.clean_weekly_sales
+    if "web_product_funnel" in out:
+        out["web_product_funnel"] = tables.product_info
+    return out
+
+
+def run(tables, family: str, out_dir: str, bound: bool = False, **params) -> list[str]:
+    """Store the shared tables, then write every key of the family."""
+    results = reports(stored(tables, family), family, bound, **params)
     for key, df in results.items():
         df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{key}")
     return list(results)

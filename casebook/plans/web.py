@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casebook.functions import int_div, ratio, year_month
-from casebook.operators import interval_lookup, membership_flag, ordered_string_agg, top_k
+from casebook.functions import ci_eq, int_div, ratio, year_month
+from casebook.operators import interval_lookup, join_back, membership_flag, ordered_string_agg, top_k
 
 # Event codes and other reference literals.
 VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
@@ -31,18 +31,18 @@ def user_count(t) -> DataFrame:
 
 def cookies_per_user(t) -> DataFrame:
     """Distinct cookies per distinct user, rounded to a whole number."""
-    r = (F.lit(1.0) * F.countDistinct("cookie_id").cast("double")
-         / F.countDistinct("user_id").cast("double"))
+    r = ratio(F.countDistinct("cookie_id"), F.countDistinct("user_id"))
     return t.users.agg(F.round(r, 0).cast("int").alias("avg_cookies_per_user"))
 
 
 def visits_per_month(t) -> DataFrame:
     return (t.web_events.groupBy(year_month("event_time").alias("month"))
-            .agg(F.countDistinct("visit_id").alias("unique_visit_count")))
+            .agg(F.countDistinct("visit_id").alias("unique_visit_count")).orderBy("month"))
 
 
 def events_by_type(t) -> DataFrame:
-    return t.web_events.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
+    return (t.web_events.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
+            .orderBy("event_type"))
 
 
 def _visit_flags(t, *flags: tuple[str, Column]) -> DataFrame:
@@ -53,12 +53,13 @@ def _visit_flags(t, *flags: tuple[str, Column]) -> DataFrame:
 def purchase_pct(t, event_name: str = PURCHASE_EVENT_NAME) -> DataFrame:
     """Visits with a purchase event x 100 / all visits, integer division.
 
-    The purchase codes come from the event-name table (a fixed, tiny list,
-    broadcast); each visit becomes one flag row, then one global sum.
+    The purchase codes come from the event-name table, each once; Spark
+    decides from its measured size whether to broadcast it.  Each visit
+    becomes one flag row, then one global sum.
     """
-    codes = (t.event_identifier.where(F.col("event_name") == event_name)
-             .select("event_type", F.lit(1).alias("_hit")))
-    e = t.web_events.join(F.broadcast(codes), "event_type", "left")
+    codes = (t.event_identifier.where(ci_eq("event_name", event_name))
+             .select("event_type").distinct().withColumn("_hit", F.lit(1)))
+    e = t.web_events.join(codes, "event_type", "left")
     v = e.groupBy("visit_id").agg(F.max(F.coalesce("_hit", F.lit(0))).alias("p"))
     return v.agg(int_div(F.sum("p") * 100, F.count(F.lit(1))).alias("percentage_purchase"))
 
@@ -95,7 +96,8 @@ def category_counts(t) -> DataFrame:
             .where(F.col("product_category").isNotNull())
             .groupBy("product_category")
             .agg(F.count(F.when(_is(CART_ADD), 1)).alias("cart_add_count"),
-                 F.count(F.when(_is(VIEW), 1)).alias("view_count")))
+                 F.count(F.when(_is(VIEW), 1)).alias("view_count"))
+            .orderBy("product_category"))
 
 
 def top_products(t, n: int = TOP_PRODUCTS) -> DataFrame:
@@ -174,7 +176,7 @@ def product_leaders(t, intent: bool = False) -> DataFrame:
         F.struct(F.lit(m).alias("metric"), F.col(r).alias("_rank_value"),
                  F.col(v).alias("value")) for m, r, v in spec])))
     mx = long.groupBy("metric").agg(F.max("_rank_value").alias("_rank_value"))
-    return (long.join(F.broadcast(mx), ["metric", "_rank_value"])
+    return (long.join(F.broadcast(mx), ["metric", "_rank_value"])  # three rows
             .select("metric", "product_name", "value"))
 
 
@@ -217,25 +219,26 @@ def cart_to_purchase_rate(t) -> DataFrame:
 def visit_campaigns(t) -> DataFrame:
     """One row per (user, visit) with counts, cart products and campaign.
 
-    Visits are aggregated first; the campaign is then looked up once per
-    visit by its start time, as an equi-join on the start day plus the range
-    test (campaigns expanded to their days), so no visit is compared with
-    every campaign and Spark decides from the measured size whether to
-    broadcast the campaign side.  This equals the reference's double range
-    join when campaigns do not overlap.
+    Visits are aggregated first, with plain counts in a hash aggregate; the
+    ordered product list is built from the cart adds alone.  The campaign is
+    then looked up once per visit by its start time, as an equi-join on the
+    start day plus the range test, so no visit is compared with every
+    campaign.  This equals the reference's double range join when campaigns
+    do not overlap.
     """
-    cart_product = F.when(F.col("product_id").isNotNull() & _is(CART_ADD), F.col("page_name"))
-    ev = (t.users.join(t.web_events, "cookie_id")
-          .join(t.page_hierarchy.select("page_id", "page_name", "product_id"), "page_id", "left")
-          .withColumn("_cart_product", cart_product))
+    ev = t.users.join(t.web_events, "cookie_id")
+    products = t.page_hierarchy.where(F.col("product_id").isNotNull())
+    carts = (ev.where(_is(CART_ADD)).join(products.select("page_id", "page_name"), "page_id")
+             .groupBy("user_id", "visit_id")
+             .agg(ordered_string_agg("page_name", "sequence_number").alias("cart_products")))
     vs = (ev.groupBy("user_id", "visit_id")
           .agg(F.min("event_time").alias("visit_start_time"),
                F.count(F.when(_is(VIEW), 1)).alias("page_views"),
                F.count(F.when(_is(CART_ADD), 1)).alias("cart_adds"),
                F.max(_flag(_is(PURCHASE))).alias("purchase"),
                F.count(F.when(_is(IMPRESSION), 1)).alias("impression"),
-               F.count(F.when(_is(CLICK), 1)).alias("click"),
-               ordered_string_agg("_cart_product", "sequence_number").alias("cart_products")))
+               F.count(F.when(_is(CLICK), 1)).alias("click")))
+    vs = join_back(vs, carts, ["user_id", "visit_id"])
     camp = t.campaign_identifier.select("campaign_name", "start_date", "end_date")
-    return interval_lookup(vs, "visit_start_time", camp, "start_date", "end_date",
-                           small_dim=False)
+    return interval_lookup(vs, "visit_start_time", camp, "start_date",
+                           "end_date").orderBy("user_id")

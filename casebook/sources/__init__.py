@@ -3,5 +3,5 @@
 from casebook.sources.schemas import SCHEMAS  # noqa: F401
 from casebook.sources.tables import CatalogTables, Tables, bind, bind_catalog  # noqa: F401
 from casebook.sources.sinks import (  # noqa: F401
-    drop_table, materialize, read_materialized, save_table,
+    drop_table, materialize, save_table,
 )

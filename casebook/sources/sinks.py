@@ -1,23 +1,22 @@
 """Materialised result tables (``SELECT ... INTO`` / ``DROP TABLE``).
 
-A materialised table is written as Parquet under the shared folder named
-by ``spark.checkpoint.dir`` (or an explicit path) and read back, which also
-cuts the lineage of long jobs.  ``mode="overwrite"`` replaces an existing
+A materialised table is written as Parquet to an explicit path, or to a new
+folder under the shared one named by ``spark.checkpoint.dir``, so that jobs
+never overwrite each other's tables, and read back, which also cuts the lineage
+of long jobs.  ``mode="overwrite"`` replaces an existing
 table, the Spark form of drop-and-create.  ``save_table`` / ``drop_table``
 do the same through the session catalog.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.session import checkpoint_dir
 
 
-def _path(spark: SparkSession, name: str, path: str | None) -> str:
-    return path or f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
-
-
 def materialize(df: DataFrame, name: str, path: str | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as table ``name`` (overwrite) and return it read back.
@@ -26,7 +25,7 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
     on them prune whole folders.
     """
     spark = df.sparkSession
-    target = _path(spark, name, path)
+    target = path or f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -34,10 +33,6 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
     return spark.read.parquet(target)
 
 
-def read_materialized(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
-    return spark.read.parquet(_path(spark, name, path))
-
-
 def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """``SELECT ... INTO name``: create or replace a catalog table."""
     w = df.write.mode("overwrite").format("parquet")

@@ -28,7 +28,6 @@ CAMPAIGNS = [("Campaign A", "2024-01-02", "2024-01-09"),
 ORDER_STATUS_TXN = {"O": "deposit", "F": "withdrawal", "P": "purchase"}
 RETURNFLAG_CUSTOMER = {"A": "New", "N": "Existing"}  # anything else: Guest
 PRODUCT_PAGE_MIN = 13   # part keys from 13 on are product pages
-PAGE_COUNT = 100        # part keys below 100 are pages
 SESSION_GAP_HOURS = 12
 
 
@@ -112,8 +111,9 @@ class Tables:
         ``transactions`` counts distinct orders.  Region and segment are
         attributes of the order, so lineitem is first summed per (order, week,
         platform, customer type): after the joins each order occurs once per
-        output group and the distinct count is a plain count.  The
-        pre-aggregation also shrinks lineitem before it meets any join.
+        output group and the distinct count is a plain count.  Lineitem is
+        dealt by order key once, which serves both that sum and the join to
+        orders; the small tables are joined to each other first.
         """
         li = self.raw("lineitem").select("l_orderkey", "l_extendedprice", "l_returnflag",
                                          "l_linestatus", "l_shipdate")
@@ -121,7 +121,7 @@ class Tables:
         c = self.raw("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         n = self.raw("nation").select("n_nationkey", "n_regionkey")
         r = self.raw("region").select("r_regionkey", "r_name")
-        per_order = (li.groupBy("l_orderkey",
+        per_order = (li.repartition("l_orderkey").groupBy("l_orderkey",
                                 F.date_trunc("week", "l_shipdate").alias("_week"),
                                 "l_linestatus", "l_returnflag")
                      .agg(F.sum(F.col("l_extendedprice").cast(MONEY_IN)).alias("_sales")))
@@ -129,10 +129,10 @@ class Tables:
         segment = F.when(seg == "AUTOMOBILE", F.lit("null")).otherwise(
             F.concat(F.when(seg.isin("BUILDING", "FURNITURE"), "C").otherwise("F"),
                      (F.col("o_custkey") % 4 + 1).cast("string")))
-        rows = (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
-                .join(c, F.col("o_custkey") == F.col("c_custkey"))
-                .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-                .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+        places = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+        buyers = c.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+        placed = o.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        rows = (per_order.join(placed, per_order.l_orderkey == placed.o_orderkey)
                 .select(F.date_format("_week", "d/M/yy").alias("week_date"),
                         F.upper("r_name").alias("region"),
                         F.when(F.col("l_linestatus") == "O", "Retail")
@@ -170,8 +170,7 @@ class Tables:
 
     @cached_property
     def page_hierarchy(self) -> DataFrame:
-        p = self.raw("part").select("p_partkey", "p_name", "p_type") \
-            .where(F.col("p_partkey") < PAGE_COUNT)
+        p = self.raw("part").select("p_partkey", "p_name", "p_type")
         is_product = F.col("p_partkey") >= PRODUCT_PAGE_MIN
         return p.select(F.col("p_partkey").cast("int").alias("page_id"),
                         F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 from casebook.plans import bank, loyalty, mart, web
+from casebook.sources.tables import LiteralTables
 from tests import fixtures
 from tests.conftest import rows
 
@@ -115,6 +116,76 @@ def test_mart_clean_rules(spark):                       # R4, R5, D16, D17
     assert 1950 in years                                  # 1/1/50 -> 1950
 
 
+def test_monthly_net_adds_every_other_kind(spark):
+    tx = [(1, D(2020, 1, 1), "deposit", Decimal(100)), (1, D(2020, 1, 2), "fee", Decimal(30)),
+          (1, D(2020, 1, 3), "Deposit", Decimal(5)), (1, D(2020, 1, 4), None, Decimal(7)),
+          (1, D(2020, 1, 5), "WITHDRAWAL", Decimal(40)), (1, D(2020, 1, 6), "purchase", Decimal(2))]
+    t = LiteralTables(customer_transactions=spark.createDataFrame(
+        tx, "customer_id int, txn_date date, txn_type string, txn_amount decimal(18,2)"))
+    assert rows(bank.month_net(t), "Mth_end_balance") == [(Decimal("100.00"),)]
+    d = rows(bank._daily_running(t), "running_bal")     # other kinds are nothing here
+    assert d[-1] == (Decimal("105.00"),) and min(d) == (Decimal("63.00"),)
+    assert rows(bank.txn_type_totals(t), "txn_type", "unique_count")[1] == ("deposit", 2)
+    assert rows(bank.deposit_averages(t)) == [(2, Decimal(105))]
+
+
+def _one_week(spark, *groups):
+    cws = "week_date date, week_number int, month_number int, calendar_year int, region string, " \
+        "platform string, age_band string, demographic string, segment string, " \
+        "customer_type string, transactions int, sales bigint, avg_transactions bigint"
+    return LiteralTables(clean_weekly_sales=spark.createDataFrame(
+        [(D(2020, 6, 1), 23, 6, 2020, "ASIA", p, "Retirees", "Couples", "C3", c, n, s, None)
+         for p, c, n, s in groups], cws))
+
+
+def test_zero_totals_give_null(spark):
+    t = _one_week(spark, ("Retail", "New", 0, 0))
+    assert rows(mart.platform_share(t)) == [(2020, 6, None, None)]
+    assert rows(mart.demographic_share(t)) == [(2020, None, None, None)]
+    assert rows(mart.retail_contribution(t), "percent_contributions") == [(None,)]
+    assert rows(mart.avg_transaction(t)) == [(2020, None, None)]
+    assert rows(mart.avg_transaction(t, by_platform=True), "avg_txn") == [(None,)]
+
+
+def test_ratios_of_empty_tables_are_null(spark):
+    empty = LiteralTables(
+        customer_transactions=spark.createDataFrame(
+            [], "customer_id int, txn_date date, txn_type string, txn_amount decimal(18,2)"),
+        customer_nodes=spark.createDataFrame([], "customer_id int"),
+        users=spark.createDataFrame([], "user_id int, cookie_id string"))
+    assert rows(bank.growth_share(empty)) == [(None,)]
+    assert rows(web.cookies_per_user(empty)) == [(None,)]
+
+
+def test_platforms_that_differ_in_case_are_one(spark):
+    t = _one_week(spark, ("Retail", "New", 1, 10), ("retail", "new", 2, 20), ("SHOPIFY", "Guest", 4, 5))
+    assert rows(mart.txn_by_platform(t)) == [("Retail", 3), ("Shopify", 4)]
+    got = rows(mart.impact_by_area(t, year=2020), "metric", "value", "sales_before")
+    assert ("platform", "Retail", 30) in got and ("customer_type", "New", 30) in got
+    assert rows(mart.avg_transaction(t, by_platform=True), "platform") == [("Retail",), ("Shopify",)]
+
+
+def test_event_and_product_names_ignore_case(spark):
+    t = fixtures.web(spark)
+    assert rows(web.purchase_pct(t, "purchase")) == rows(web.purchase_pct(t, "PURCHASE"))
+    lt = fixtures.loyalty(spark)
+    assert rows(loyalty.points(lt, "SUSHI")) == rows(loyalty.points(lt, "sushi"))
+
+
+def test_results_come_sorted(spark):
+    t, b = fixtures.loyalty(spark), fixtures.bank(spark)
+    ids = [r.customer_id for r in loyalty.total_spend(t).collect()]
+    assert ids == sorted(ids)
+    ids = [r.customer_id for r in loyalty.points(t).collect()]
+    assert ids == sorted(ids)
+    names = [r.region_name for r in bank.nodes_per_region(b).collect()]
+    assert names == sorted(names)
+    nets = [(r.customer_id, r.month_no) for r in bank.month_net(b).collect()]
+    assert nets == sorted(nets)
+    kinds = [r.event_type for r in web.events_by_type(fixtures.web(spark)).collect()]
+    assert kinds == sorted(kinds)
+
+
 def test_mart_missing_weeks_not_in_with_null(spark):    # R7
     assert mart.missing_weeks(fixtures.mart(spark)).count() == 0
 

@@ -86,10 +86,3 @@ def test_us_week_of_text_equals_week_of_parsed(spark):
                                                (None,)], "s string"))
     bad = df.where(~us_week_of_dmy2("s").eqNullSafe(us_week(parse_dmy2("s"))))
     assert bad.count() == 0
-
-
-def test_in_range_equals_between(spark):
-    from casebook.functions import in_range
-    df = spark.createDataFrame([(x,) for x in range(-3, 60)] + [(None,)], "x int")
-    got = df.select((in_range("x", 13, 37).eqNullSafe(F.col("x").between(13, 37))).alias("ok"))
-    assert all(r.ok for r in got.collect())

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from casebook.plans.registry import QUERIES
 from casebook.plans import web
 from casebook.sources import bind
 
@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 
 def q(spark, key):
-    return entry.queries()[key](spark, SF)
+    return QUERIES[key](spark, SF)
 
 
 def test_platform_shares_sum_to_100(spark):

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window, functions as F
 
 from casebook.operators import (
-    interval_lookup, keep_extreme, membership_flag, next_date_in_order, not_in_values,
+    first_ranked, interval_lookup, keep_extreme, membership_flag, next_date_in_order, not_in_values,
     rank_by, rows_at_max, running_total_by_day, sessionize, unpivot_dims,
 )
 from tests.conftest import rows
@@ -87,20 +87,30 @@ def test_not_in_values_null_semantics(spark):
     assert not_in_values(seq, "x", with_null, "w").count() == 0
 
 
-def test_interval_lookup_paths_agree(spark):
+def test_interval_lookup(spark):
     facts = spark.createDataFrame(
         [(1, dt.datetime(2024, 1, 2, 0, 0)), (2, dt.datetime(2024, 1, 9, 0, 0)),
          (3, dt.datetime(2024, 1, 9, 0, 1)), (4, dt.datetime(2024, 1, 5, 12))],
         "id int, ts timestamp_ntz")
     dim = spark.createDataFrame(
         [("A", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 9)),
-         ("B", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6))],   # overlaps A
+         ("B", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6)),    # overlaps A
+         ("C", dt.datetime(2024, 1, 9, 0, 1), dt.datetime(9999, 12, 31)),  # open end
+         ("D", dt.datetime(1999, 1, 1), dt.datetime(1999, 1, 2))],   # before all facts
         "name string, s timestamp_ntz, e timestamp_ntz")
-    small = interval_lookup(facts, "ts", dim, "s", "e", small_dim=True)
-    big = interval_lookup(facts, "ts", dim, "s", "e", small_dim=False)
-    exp = [(1, "A"), (2, "A"), (3, None), (4, "A"), (4, "B")]
-    assert rows(small, "id", "name") == exp
-    assert rows(big, "id", "name") == exp
+    exp = [(1, "A"), (2, "A"), (3, "C"), (4, "A"), (4, "B")]
+    assert rows(interval_lookup(facts, "ts", dim, "s", "e"), "id", "name") == exp
+    none = facts.where("id = 0")
+    assert interval_lookup(none, "ts", dim, "s", "e").count() == 0
+    late = dim.where("name = 'D'")
+    assert rows(interval_lookup(facts, "ts", late, "s", "e"), "name") == [(None,)] * 4
+
+
+def test_first_ranked_keeps_ties(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), ("b", 3, "w")],
+                               "k string, v int, n string")
+    assert rows(first_ranked(df, ["k"], F.asc("v")), "k", "n") == [("a", "x"), ("a", "y"), ("b", "w")]
+    assert rows(first_ranked(df, ["k"], F.desc("v"), dense=True), "n") == [("w",), ("z",)]
 
 
 def test_membership_flag_no_fanout(spark):

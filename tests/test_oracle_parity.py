@@ -7,7 +7,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from casebook.oracle import SQL
+from casebook.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 VIEWS = "region nation customer supplier part orders lineitem events".split()
@@ -39,14 +40,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF)
+    df = QUERIES[key](spark, SF)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(entry.oracle_sql()[key])
+    cur = con.execute(SQL[key])
     cols = [d[0] for d in cur.description]
     exp = _canon(cols, cur.fetchall())
     assert sorted(df.columns) == sorted(cols)

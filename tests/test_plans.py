@@ -1,8 +1,10 @@
 """Physical-plan properties that matter at scale."""
 
+import re
+
 import pytest
 
-import __spark_entry__ as entry
+from casebook.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,43 +13,99 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_udf_no_cartesian(spark, key):
-    p = _plan(entry.queries()[key](spark, SF))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct"):
+    p = _plan(QUERIES[key](spark, SF))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
+                "BroadcastNestedLoopJoin"):
         assert bad not in p, (key, bad)
 
 
 @pytest.mark.parametrize("key", ["loyalty_top_item", "web_top_pages", "web_top_products",
                                  "web_most_abandoned", "web_view_to_purchase"])
 def test_top_k_is_take_ordered(spark, key):
-    df = entry.queries()[key](spark, SF)
+    df = QUERIES[key](spark, SF)
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().sparkPlan().toString()
 
 
 def test_impact_unpivots_in_one_pass(spark):
-    df = entry.queries()["mart_impact_by_area"](spark, SF)
+    df = QUERIES["mart_impact_by_area"](spark, SF)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "Expand" in p
     assert p.count("lineitem.parquet") == 1     # one scan feeds all five dimensions
 
 
-def test_pruned_and_pushed_scans(spark):
-    df = entry.queries()["bank_realloc_days_all"](spark, SF)
+def test_pruned_scans(spark):
+    df = QUERIES["bank_realloc_days_all"](spark, SF)
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "o_totalprice" not in p               # unused columns are not read
-    df = entry.queries()["mart_before_after_12w"](spark, SF)
-    assert "Filter" in df._jdf.queryExecution().sparkPlan().toString()
 
 
-def test_window_free_hot_key_operators(spark):
-    # The per-customer rank and the sessionised web events never run a
-    # window over raw rows: their windows sit on top of an aggregate.
-    for key in ("loyalty_member_ranking", "web_visits_per_month"):
-        p = entry.queries()[key](spark, SF)._jdf.queryExecution().sparkPlan().toString()
-        for line in p.splitlines():
-            if "Window [" in line:
-                assert "sum(" in line or "lag(" in line or "row_number" in line, line
+def test_filters_reach_the_scan(spark):
+    df = QUERIES["loyalty_points_join_week"](spark, SF)
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]",
+                        df._jdf.queryExecution().executedPlan().toString())
+    assert any("LessThan" in x and "o_orderdate" in x for x in pushed), pushed
+
+
+@pytest.fixture
+def large_tables(spark):
+    """Plans as for tables too large to broadcast, without run-time changes."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, ("-1", "false")):
+        spark.conf.set(n, v)
+    yield
+    for n, v in zip(names, old):
+        spark.conf.set(n, v)
+
+
+def _counts(spark, key):
+    p = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"[^d]Exchange hashpartitioning", p)), p.count("FileScan"), p
+
+
+def test_lineitem_is_shuffled_once_for_the_weekly_table(spark, large_tables):
+    _, _, p = _counts(spark, "mart_txn_by_year")
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", p)) == 1
+    assert "Exchange hashpartitioning(l_orderkey#" in p
+    assert not re.search(r"Exchange hashpartitioning\(l_orderkey#\w+, ", p.replace("L, 4)", ")")) \
+        or "REPARTITION_BY_COL" in p
+
+
+@pytest.mark.parametrize("key, exchanges, scans", [
+    ("loyalty_first_items", 5, 3), ("loyalty_first_after_join", 6, 4),
+    ("loyalty_last_before_join", 6, 4)])
+def test_first_rows_read_their_facts_once(spark, large_tables, key, exchanges, scans):
+    n, files, p = _counts(spark, key)
+    assert n <= exchanges and files <= scans, p
+    assert "WindowGroupLimit" in p
+
+
+@pytest.mark.parametrize("key", ["loyalty_member_ranking", "web_visits_per_month",
+                                 "bank_alloc_running"])
+def test_windows_of_hot_keys_run_over_aggregates(spark, large_tables, key):
+    """Below every window, before the scan, rows have been aggregated."""
+    lines = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    found = 0
+    for i, line in enumerate(lines):
+        if re.search(r"\bWindow \[", line):
+            found += 1
+            below = []
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i]:
+                    break
+                below.append(lines[j])
+            assert any("Aggregate(" in x for x in below), line
+    assert found
+
+
+def test_ordered_strings_are_built_from_cart_adds_alone(spark, large_tables):
+    p = QUERIES["web_visit_campaigns"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for line in p.splitlines():
+        if "ObjectHashAggregate" in line or "SortAggregate" in line:
+            assert "listagg" in line and "count(" not in line, line
 
 
 @pytest.mark.parametrize("key", ["bank_node_count", "bank_customers_per_region",
@@ -55,5 +113,5 @@ def test_window_free_hot_key_operators(spark):
 def test_unused_lookups_are_pruned(spark, key):
     # Next-stay dates and visit numbers are joined back with left joins on
     # keys that always match; keys that never read them run no window.
-    p = entry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    p = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in p, key
