@@ -9,6 +9,8 @@ memo; only pieces not seen before go to the ``tokenizers`` library.
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 from collections.abc import Iterator
 
@@ -19,7 +21,7 @@ import regex
 from casebook.llm.common import mix
 
 #: Pieces that a worker remembers; then it starts afresh.
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 400_000
 #: Code points of one array step; a longer document is one step.
 STEP_CHARS = 1 << 19
 
@@ -75,14 +77,47 @@ def pieces(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for.
+
+    Printable bytes stand for themselves, the others for the code points from
+    256 on, in order.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(other)}}
+
+
+def _ranks(path: str) -> dict[bytes, int] | None:
+    """Token bytes to ids, if ids follow the order of the merges."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    if any(vocab.get("".join(m)) != 256 + i for i, m in enumerate(pairs)):
+        return None
+    letters = _alphabet()
+    return {bytes(letters[c] for c in token): i for token, i in vocab.items()
+            if i < 256 + len(pairs)}
+
+
 class Encoder:
     """Token ids by the vocabulary file at ``path``."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        ranks = _ranks(path)
+        if ranks:
+            import tiktoken
+            merge = tiktoken.Encoding("merges", pat_str=r"(?s).+", mergeable_ranks=ranks,
+                                      special_tokens={}).encode_ordinary
+            self.merged = lambda pieces: list(map(merge, pieces))
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+            model = Tokenizer.from_file(path)
+            model.encode_special_tokens = True
+            self.merged = lambda pieces: [
+                e.ids for e in model.encode_batch(pieces, add_special_tokens=False)]
         self._forget()
 
     def _forget(self) -> None:
@@ -92,19 +127,20 @@ class Encoder:
         self.size = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
-        if len(self.memo) > MEMO_PIECES:
-            self._forget()
-        for h, e in zip(hashes, self.model.encode_batch(texts, add_special_tokens=False)):
-            k, ids = len(self.memo), e.ids
-            if k == len(self.at):
-                self.at, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.at, self.size))
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-            self.pool[self.used:self.used + len(ids)] = ids
-            self.at[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.memo[h] = k
+    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+        ids = self.merged(pieces)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        k, n, total = len(self.memo), len(ids), int(size.sum())
+        while k + n > len(self.at):
+            self.at, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.at, self.size))
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        self.pool[self.used:self.used + total] = np.fromiter(
+            itertools.chain.from_iterable(ids), np.uint32, total)
+        self.at[k:k + n] = self.used + np.cumsum(size) - size
+        self.size[k:k + n] = size
+        self.used += total
+        self.memo.update(zip(hashes, range(k, k + n)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of a few texts, one after the other."""
@@ -126,7 +162,7 @@ class Encoder:
         at = first[fresh] if len(fresh) else first[:0]
         self._learn([keys[i] for i in fresh],
                     [joined[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
-        row = np.fromiter((self.memo[h] for h in keys), np.int64, len(keys))[back]
+        row = np.fromiter(map(self.memo.__getitem__, keys), np.int64, len(keys))[back]
         size = self.size[row]
         cut = np.zeros(len(row) + 1, np.int64)
         np.cumsum(size, out=cut[1:])
