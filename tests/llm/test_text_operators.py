@@ -1,5 +1,6 @@
 """Operators over ``documents`` against brute force, on edge cases and given rows."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -296,6 +297,15 @@ def test_quality_on_given_labels(spark):
     assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.1 * len(junk)
 
 
+def test_trusted_sample_is_bounded_and_the_first_by_hash(spark):
+    ids = list(range(3000)) + [5, None]
+    labels = spark.createDataFrame([(i, 1, 0) for i in ids] + [(7, 0, 0), (8, 1, None)],
+                                   "doc_id long, quality int, toxic int").repartition(3)
+    order = sorted(set(range(3000)) - {7, 8}, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    for rows_ in (40, 5000):
+        assert [r.doc_id for r in quality.trusted_ids(labels, rows_).collect()] == order[:rows_]
+
+
 def test_quality_kept_returns_the_columns(docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     odd = docs.withColumn("score", F.lit("own")).withColumn("kept", F.lit(1))
