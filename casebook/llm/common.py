@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casebook.session import checkpoint_dir
 
@@ -41,6 +41,18 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def joined_back(df: DataFrame, summary: DataFrame, *keys: str) -> DataFrame:
+    """``df`` joined to a table that was aggregated by the same ``keys``.
+
+    An aggregate and a join by the same keys would share one stage, and Spark
+    splits skewed partitions only of joins that read plain shuffles.  One more
+    key, derived from the others, gives the join shuffles of its own.
+    """
+    more = F.xxhash64(*keys)
+    return (df.withColumn("_more", more).join(summary.withColumn("_more", more), [*keys, "_more"])
+            .drop("_more"))
+
+
 def extended(schema: T.StructType, **columns: str) -> T.StructType:
     """A copy of ``schema`` with more columns, given as name="type"."""
     more = T.StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in columns.items()))

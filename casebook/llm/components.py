@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.llm.common import saved
+from casebook.llm.common import joined_back, saved
 
 
 def _towards_least(pairs: DataFrame) -> DataFrame:
     """``pairs`` (u, v) with ``m``: the least of u and its partners."""
     least = pairs.groupBy("u").agg(F.min("v").alias("least"))
-    return pairs.join(least, "u").withColumn("m", F.least("u", "least"))
+    return joined_back(pairs, least, "u").withColumn("m", F.least("u", "least"))
 
 
 def _round(edges: DataFrame) -> DataFrame:

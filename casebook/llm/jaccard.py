@@ -30,8 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casebook.llm.common import (doc_of, extended, free_name, groups, in_arrow, mix, saved,
-                                 span_hashes, texts, windows, words)
+from casebook.llm.common import (doc_of, extended, free_name, groups, in_arrow, joined_back,
+                                 mix, saved, span_hashes, texts, windows, words)
 from casebook.llm.components import components
 
 SHINGLE = 5
@@ -288,7 +288,7 @@ def _least_linked(links: np.ndarray, number: np.ndarray) -> np.ndarray:
 def _verified(docs: DataFrame, known: DataFrame, parts: DataFrame, threshold: Fraction) -> DataFrame:
     """(u, v, docs, texts) per text and task: an edge towards its group, and its links."""
     sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = (parts.join(sizes, "root").withColumnRenamed("node", "number")
+    members = (joined_back(parts, sizes, "root").withColumnRenamed("node", "number")
                .join(known, "number"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
@@ -357,7 +357,7 @@ def join(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
                                    F.coalesce("texts", F.lit(0)).alias("texts")), "grouped")
     first = F.struct(F.col("least_id").isNull().alias("none"), "least_id", "digest")
     names = grouped.groupBy("root").agg(F.min(first).alias("first"))
-    grouped = grouped.join(names, "root").select(
+    grouped = joined_back(grouped, names, "root").select(
         "digest", F.coalesce("first.least_id", -F.col("root") - 1).alias("class_id"),
         (F.col("docs") + F.col("copies") - 1).alias("n_links"),
         F.col("texts").alias("n_text_links"), F.col("copies").alias("n_copies"),

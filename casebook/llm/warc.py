@@ -28,6 +28,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from casebook.llm.common import joined_back
+
 #: Records of one file at most.
 FILE_RECORDS = 4000
 #: Capture time of records whose table has none.
@@ -59,9 +61,8 @@ def headers(pages: DataFrame, min_bytes: int = 0, date: str = DATE) -> DataFrame
         F.octet_length(payload).cast("bigint").alias("bytes"))
     nth = F.row_number().over(Window.partitionBy("sha256", "bytes", "page_id").orderBy("url"))
     rows = rows.withColumn("nth", nth)
-    first = (rows.groupBy("sha256", "bytes").agg(F.min("page_id").alias("first_id"))
-             .withColumnRenamed("sha256", "_sha256").withColumnRenamed("bytes", "_bytes"))
-    rows = rows.join(first, (F.col("sha256") == F.col("_sha256")) & (F.col("bytes") == F.col("_bytes")))
+    first = rows.groupBy("sha256", "bytes").agg(F.min("page_id").alias("first_id"))
+    rows = joined_back(rows, first, "sha256", "bytes")
     lead = F.col("page_id").eqNullSafe(F.col("first_id")) & (F.col("nth") == 1)
     response = lead | (F.col("bytes") < min_bytes)
     uri = F.coalesce(F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A"),
