@@ -84,7 +84,7 @@ def jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.dedup(docs).select(
+    return linededup.dedup(docs, join_runs=True).select(
         "doc_id", "text", F.size("removed").alias("n_removed_chunks"),
         F.expr("aggregate(removed, 0L, (n, x) -> n + x.lines)").alias("n_removed_lines"),
         F.expr("array_join(transform(removed, x -> concat(x.begin, ':', x.end)), ',')")

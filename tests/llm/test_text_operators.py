@@ -210,6 +210,40 @@ def test_line_dedup_leaves_short_single_lines(spark):
     assert all(not r.removed for r in out)
 
 
+def test_line_dedup_removes_every_long_passage(spark):
+    """Passages of 2 to 5 lines and over 50 words, each between other neighbours."""
+    rng = random.Random(8)
+    line = lambda n: " ".join(prose(rng, n))
+    passages = [[line(rng.randint(52 // k + 1, 45)) for _ in range(k)] for k in (2, 3, 4, 5) * 5]
+    passages += [[line(80), line(3), "", line(4)], [line(4), line(3), line(80)]]
+    data, own = [], {}
+    for n, p in enumerate(passages):
+        for k in range(3):
+            before, after = ([line(rng.randint(1, 20)) for _ in range(rng.randint(1, 3))] for _ in range(2))
+            data.append((10 * n + k, "\n".join(before + p + after), "en", "s", 1))
+            own[10 * n + k] = "\n".join(before + (p if k == 0 else []) + after)
+    docs = spark.createDataFrame(data, DOCS)
+    assert {r.doc_id: r.text for r in linededup.dedup(docs).collect()} == own
+    for r in linededup.dedup(docs, join_runs=True).collect():
+        p = passages[r.doc_id // 10]
+        assert r.text == own[r.doc_id]
+        assert [s.lines for s in r.removed] == [sum(map(bool, p))] * (r.doc_id % 10 > 0)
+
+
+def test_line_dedup_keeps_the_first_of_lines_that_repeat_on(spark):
+    line = " ".join(prose(random.Random(1), 10))
+    out = linededup.dedup(spark.createDataFrame([(1, "\n".join([line] * 30 + ["end"]), "en", "s", 1)], DOCS))
+    left = out.collect()[0].text.split("\n")
+    assert set(left) == {line, "end"} and len(left) < 30
+
+
+def test_overlapping_spans():
+    text = b"a\nb\n\nc\nd"
+    assert linededup.without(text, [(0, 6), (2, 3), (5, 6)]) == b"d"
+    assert linededup.joined(text, [(0, 3), (2, 3), (2, 6)]) == [(0, 6, 3)]
+    assert linededup.joined(text, [(0, 1), (5, 6), (7, 8)]) == [(0, 1, 1), (5, 8, 2)]
+
+
 def test_without_takes_whole_lines():
     text = b"a\nb\n\nc"
     assert linededup.without(text, []) == text
