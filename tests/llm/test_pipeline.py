@@ -115,3 +115,17 @@ def test_packing_stage_and_run(spark, stages):
     assert max(fill.values()) <= 1024
     again = corpus_pipeline.run(spark, SF)
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, rows))
+
+
+def test_of_exact_copies_one_stays_whole(spark):
+    rng = np.random.default_rng(5)
+    line = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+    sizes = [(20, 30, 25), (9,) * 12, (60, 4, 70, 3), (3, 8), (2, 5, 4, 1, 6, 3), (5, 70, 6, 6, 6)]
+    data, whole = [], []
+    for n, lines in enumerate(sizes):
+        whole.append((10 * n, "\n".join(line(k) for k in lines)))
+        data += [(10 * n + k, whole[-1][1], "en", "s", len(whole[-1][1])) for k in range(4)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    out = stages["near_duplicates"](spark, saved(stages["line_dedup"](spark, docs, SF), "copies"), SF)
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == whole
