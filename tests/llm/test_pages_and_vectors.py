@@ -138,6 +138,33 @@ def test_markup(html, text):
     assert "\n\n".join(extraction.blocks(html)) == text
 
 
+BODY = "<h1>Title</h1><p>The whole of a long article stands here.</p>"
+
+
+@pytest.mark.parametrize("html", [
+    f"<article class='post has-sidebar'>{BODY}</article>",
+    f"<div id=content class='with-sidebar'><article>{BODY}</article></div><p>out</p>",
+    f"<div class='elementor-widget-container'>{BODY}</div>",
+    f"<div class='widget'><div class=sidebar><article>{BODY}</article></div></div><div>out</div>",
+    f"<article class='comment-status-open social'>{BODY}</article><p>out</p>",
+    f"<div class='sidebar'>{BODY}</div>",
+    f"<main><p></p><div class='widget'><article>{BODY}</article></div></main>",
+    f"<main>{BODY}<div class='related'><article>Teaser</article></div></main>",
+    f"<div class='comments'>{BODY}</div>",
+    "<article><div class='article-header'><h1>Title</h1></div><section class='related-work'>"
+    "<p>The whole of a long article stands here.</p></section></article>",
+    "<article><div class=header><h1>Title</h1></div><p>The <span class=ad>ad</span>whole of a long "
+    "article stands here.</p><div class='comments-area'><article>No, it is otherwise, says a reader</article>"
+    "</div><div class='related-posts'>Others</div></article>",
+    f"{BODY}<div class='siteHeader'>Site</div><div class='related'><article>Teaser</article></div>"
+    "<div id='left-sidebar'>s</div><ul class='main-menu'><li>m</ul><div class='div-gpt-ad-1'>buy</div>",
+    f"<article>{BODY}</article><div class=comments>" + "<article class=comment-body>I say no.</article>" * 50
+    + "</div>",
+])
+def test_marks_leave_the_article(html):
+    assert extraction.blocks(html) == ["Title", "The whole of a long article stands here."]
+
+
 def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     rng = random.Random(3)
     own = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
