@@ -12,17 +12,18 @@ from __future__ import annotations
 import itertools
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 
 from casebook.llm.common import mix
 
 #: Pieces that a worker remembers; then it starts afresh.
 MEMO_PIECES = 400_000
-#: Code points of one array step; a longer document is one step.
+#: Code points of one array step; a longer document is cut into several.
 STEP_CHARS = 1 << 19
 
 LETTER, DIGIT, OTHER, SPACE = 0, 1, 2, 3
@@ -33,16 +34,19 @@ _state: dict[str, object] = {}
 
 
 def _kinds() -> np.ndarray:
-    """The class of every code point."""
+    """The class of every code point, in the tables of the tokenizer libraries.
+
+    Both libraries have the same tables; other ones follow other versions of
+    Unicode.  A vocabulary of single bytes returns exactly what a pattern matches.
+    """
     if "kinds" not in _state:
         every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-        kinds = np.full(len(every), OTHER, np.uint8)
+        kinds = np.full(0x110000, OTHER, np.uint8)
         for kind, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (SPACE, r"\s+")):
-            for m in regex.finditer(pattern, every):
-                kinds[m.start():m.end()] = kind
-        out = np.full(0x110000, OTHER, np.uint8)
-        out[:0xD800], out[0xE000:] = kinds[:0xD800], kinds[0xD800:]
-        _state["kinds"] = out
+            found = tiktoken.Encoding("bytes", pat_str=pattern, special_tokens={}, mergeable_ranks={
+                bytes([b]): b for b in range(256)}).encode_ordinary(every)
+            kinds[np.frombuffer(bytes(found).decode().encode("utf-32-le"), np.uint32)] = kind
+        _state["kinds"] = kinds
     return _state["kinds"]
 
 
@@ -77,7 +81,7 @@ def pieces(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def _alphabet() -> dict[str, int]:
+def byte_characters() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for.
 
     Printable bytes stand for themselves, the others for the code points from
@@ -88,26 +92,37 @@ def _alphabet() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(other)}}
 
 
-def _ranks(path: str) -> dict[bytes, int] | None:
+def _ranks(spec: dict) -> dict[bytes, int] | None:
     """Token bytes to ids, if ids follow the order of the merges."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
     vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
     pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
     if any(vocab.get("".join(m)) != 256 + i for i, m in enumerate(pairs)):
         return None
-    letters = _alphabet()
+    letters = byte_characters()
     return {bytes(letters[c] for c in token): i for token, i in vocab.items()
             if i < 256 + len(pairs)}
 
 
+def _special(spec: dict) -> dict[str, int] | None:
+    """Strings that are ids of their own, if they match wherever they stand."""
+    added = spec.get("added_tokens") or []
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or not t.get("special") for t in added):
+        return None
+    return {t["content"]: t["id"] for t in added}
+
+
 class Encoder:
-    """Token ids by the vocabulary file at ``path``."""
+    """Token ids by the vocabulary file at ``path``, as the library's plain call gives them.
+
+    A special token's string in a text is that token, and the text around it is
+    encoded as separate texts.
+    """
 
     def __init__(self, path: str):
-        ranks = _ranks(path)
-        if ranks:
-            import tiktoken
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        ranks, self.special = _ranks(spec), _special(spec)
+        if ranks and self.special is not None:
             merge = tiktoken.Encoding("merges", pat_str=r"(?s).+", mergeable_ranks=ranks,
                                       special_tokens={}).encode_ordinary
             self.merged = lambda pieces: list(map(merge, pieces))
@@ -115,7 +130,7 @@ class Encoder:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
             model = Tokenizer.from_file(path)
-            model.encode_special_tokens = True
+            self.special = {}
             self.merged = lambda pieces: [
                 e.ids for e in model.encode_batch(pieces, add_special_tokens=False)]
         self._forget()
@@ -197,14 +212,50 @@ def encoder(path: str) -> Encoder:
     return _state["encoder"]
 
 
-def encoded(column: pa.Array, path: str) -> Iterator[tuple[int, list[np.ndarray]]]:
+#: A place where pieces part whatever else the text holds: solid before white
+#: space, or a plain letter or digit before a plain sign.
+_PART = re.compile(r"(?<=\S)(?=[ \t\n])|(?<=[A-Za-z0-9\u3041-\u3096\u4e00-\u9fa5\uac00-\ud7a3])"
+                   r"(?=[!-&(-/:-@\u3001\u3002\uff0c])")
+
+
+def _cut(text: str, size: int) -> Iterator[str]:
+    """``text`` in parts of ``size`` code points or more whose ids are those of the whole."""
+    lo = 0
+    while len(text) - lo > size:
+        m = _PART.search(text, lo + size)
+        if not m:
+            break
+        yield text[lo:m.start()]
+        lo = m.start()
+    yield text[lo:]
+
+
+def _whole(model: Encoder, text: str, size: int) -> np.ndarray:
+    """The ids of a text that is long or holds special tokens."""
+    out, strings = [np.zeros(0, np.uint32)], sorted(model.special, key=len, reverse=True)
+    parts = re.split("(" + "|".join(map(re.escape, strings)) + ")", text) if strings else [text]
+    for part in parts:
+        if part in model.special:
+            out.append(np.array([model.special[part]], np.uint32))
+        else:
+            out += [model.encode([p])[0] for p in _cut(part, size)]
+    return np.concatenate(out)
+
+
+def encoded(column: pa.Array, path: str, model: Encoder | None = None,
+            step_chars: int = STEP_CHARS) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, ids of each row) for runs of a text column; NULL counts as empty."""
-    model = encoder(path)
+    model = model or encoder(path)
     rows = column.fill_null("").to_pylist()
+    apart = [len(r) > step_chars or any(t in r for t in model.special) for r in rows]
     lo = 0
     while lo < len(rows):
+        if apart[lo]:
+            yield lo, [_whole(model, rows[lo], step_chars)]
+            lo += 1
+            continue
         hi, chars = lo + 1, len(rows[lo])
-        while hi < len(rows) and chars + len(rows[hi]) <= STEP_CHARS:
+        while hi < len(rows) and not apart[hi] and chars + len(rows[hi]) <= step_chars:
             chars += len(rows[hi])
             hi += 1
         ids, bounds = model.encode(rows[lo:hi])
