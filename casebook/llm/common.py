@@ -62,12 +62,13 @@ def extended(schema: T.StructType, **columns: str) -> T.StructType:
 # ---------------------------------------------------------------- text batches
 
 
-def texts(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def texts(column: pa.Array | pa.ChunkedArray, step: int = STEP_BYTES,
+          ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of documents as (first, end, bytes, offsets); NULL counts as empty.
 
     ``bytes`` holds the UTF-8 of documents ``first`` to ``end - 1`` without
     gaps and ``offsets`` their bounds, so one numpy step covers many short
-    documents.  A run has ``STEP_BYTES`` at most unless one document is longer.
+    documents.  A run has ``step`` bytes at most unless one document is longer.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -80,7 +81,7 @@ def texts(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.nda
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = int(np.searchsorted(offsets, offsets[lo] + STEP_BYTES, "right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + step, "right")) - 1
         hi = min(n, max(hi, lo + 1))
         yield lo, hi, raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi
