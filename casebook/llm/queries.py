@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casebook.llm import (ann, extraction, jaccard, linededup, mixing, packing, quality, secrets,
-                          sharding, warc)
+from casebook.llm import (ann, bpe, extraction, jaccard, linededup, middle, mixing, packing, quality,
+                          secrets, sharding, spelling, warc)
 from casebook.llm.common import scratch
 from casebook.llm.oracle import SQL  # noqa: F401  (read by the driver's entry)
 
@@ -22,6 +22,12 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def ranks() -> str:
+    """The file of token ranks that the encoding query uses."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -91,6 +97,26 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("removed_spans"))
 
 
+def spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words(_table(spark, sf_dir, "documents")))
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.transform(_table(spark, sf_dir, "documents"))
+    back = middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = ranks()
+    ids = bpe.encode(_table(spark, sf_dir, "documents"), path)
+    return bpe.decode(ids, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing_draws,
     "op2_nearest": nearest_vectors,
@@ -102,4 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": warc_records,
     "op9_jaccard_join": jaccard_classes,
     "op10_line_dedup": line_dedup,
+    "op11_spelling": spelling_forms,
+    "op12_fill_in_middle": fill_in_middle,
+    "op13_byte_bpe": byte_bpe,
 }
