@@ -424,7 +424,6 @@ def ids_of(text):
     from tokenizers import Tokenizer
     if "model" not in ids_of.__dict__:
         ids_of.model = Tokenizer.from_file(queries.tokenizer())
-        ids_of.model.encode_special_tokens = True
     return ids_of.model.encode(text or "", add_special_tokens=False).ids + [packing.END]
 
 
@@ -456,8 +455,12 @@ def test_pieces_of_the_tokenizer_match_the_library():
     signs = ["'", "'s", "'ll", "'S", " ", "  ", "\n", "\t", "\xa0", " ", "a", "Zé", "9", "٣", "１２",
              "\U0001F600", "!", "?!", "-", "<|endoftext|>", "中文", "\x00", "​", "x́", "'re"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(1500)] + [None]
-    got = [ids.tolist() for _, part in encoded(pa.array(texts), queries.tokenizer()) for ids in part]
-    assert got == [ids_of(t)[:-1] for t in texts]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>  y", "\u0558\u208f\u3134a"]
+    for step in (1 << 19, 16):  # the second cuts every text that can be cut
+        got = [ids.tolist() for _, part in encoded(pa.array(texts), queries.tokenizer(), None, step)
+               for ids in part]
+        assert got == [ids_of(t)[:-1] for t in texts]
+    assert 50256 in ids_of("a <|endoftext|> b")
 
 
 def best_fill(lengths, room):
