@@ -141,10 +141,81 @@ SELECT doc_id, class_id, CAST(n_copies - 1 + coalesce(docs, 0) AS BIGINT) AS n_l
        CAST(coalesce(n, 0) AS BIGINT) AS n_text_links, n_copies
 FROM worded JOIN texts USING (w) JOIN classes USING (id) LEFT JOIN counts USING (id)"""
 
+#: CRC-32 of a string: a table of 256 remainders, folded over its UTF-8 bytes.
+_CRC_TABLE = """(SELECT list(list_reduce(list_concat([i], range(8)),
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) FROM range(256) r(i))"""
+
+
+def _crc32(text: str, table: str) -> str:
+    """CRC-32 of ``text`` that is not empty; ``table`` is a column with the remainders."""
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode({text}))), "
+            f"lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))), "
+            f"lambda c, b: xor(c >> 8, {table}[xor(c, b) % 256 + 1])))")
+
+
+_SPELLING = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS remainders),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents WHERE text IS NOT NULL),
+checked AS (
+  SELECT run, n, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run", "remainders")} AS h
+  FROM (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL) r, crc),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+              || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM checked GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, CAST(i - 1 AS BIGINT)) || substr(word, CAST(i + 1 AS BIGINT)) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words) w),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS n, max(other_n) AS form_n,
+         min(CASE WHEN other_n = top THEN other END) AS form
+  FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS top FROM near) r GROUP BY word),
+forms AS (SELECT word, form, form_n FROM best WHERE form_n >= 5 * n),
+chain(word, last) AS (
+  SELECT word, form FROM forms
+  UNION ALL
+  SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.last),
+roots AS (SELECT word, last AS root FROM chain WHERE last NOT IN (SELECT word FROM forms))
+SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, coalesce(b.n_near, 0) AS n_near, f.form_n
+FROM words w LEFT JOIN best b ON b.word = w.word LEFT JOIN forms f ON f.word = w.word
+LEFT JOIN roots r ON r.word = w.word"""
+
+_MIDDLE = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+cut AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(d, i, 8) AS BIGINT)) AS h FROM hashed),
+placed AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, h, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+         greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b FROM cut),
+parted AS (
+  SELECT doc_id, t, n, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+         array_to_string(u[b + 1:n], '') AS s,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90
+              THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parted"""
+
 SQL = {
     "op1_mixing": _MIXING,
     "op2_nearest": _NEAREST,
     "op7_secrets": _SECRETS,
     "op8_warc": _WARC,
     "op9_jaccard_join": _JACCARD,
+    "op11_spelling": _SPELLING,
+    "op12_fill_in_middle": _MIDDLE,
 }
