@@ -9,6 +9,10 @@ result is joined back on a key that is unique on the aggregated side (which
 adaptive skew-join handling can split).
 """
 
+from casebook.operators.calendar import fill_months  # noqa: F401
+from casebook.operators.distinct import (  # noqa: F401
+    bitmaps, count_bitmaps, count_sketches, sketches,
+)
 from casebook.operators.ranking import (  # noqa: F401
     first_ranked, join_back, keep_extreme, rank_by, rows_at_max, top_k,
 )
@@ -16,9 +20,9 @@ from casebook.operators.sequence import next_date_in_order  # noqa: F401
 from casebook.operators.sessions import sessionize  # noqa: F401
 from casebook.operators.running import running_total_by_day  # noqa: F401
 from casebook.operators.compare import (  # noqa: F401
-    period_sum, unpivot_dims,
+    merge_spellings, period_sum, unpivot_dims,
 )
 from casebook.operators.joins import (  # noqa: F401
-    interval_lookup, membership_flag, not_in_values,
+    dyadic_nodes, interval_join, membership_flag, not_in_values,
 )
 from casebook.operators.strings import ordered_string_agg  # noqa: F401

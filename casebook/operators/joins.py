@@ -1,8 +1,10 @@
-"""Join shapes: membership flags, interval lookups, null-aware NOT IN."""
+"""Join shapes: membership flags, interval joins, null-aware NOT IN."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def membership_flag(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
@@ -17,26 +19,59 @@ def membership_flag(df: DataFrame, keys: DataFrame, key: str, flag: str) -> Data
             .drop("_k", "_hit"))
 
 
-def interval_lookup(facts: DataFrame, ts_col: str, dim: DataFrame, start_col: str,
-                    end_col: str) -> DataFrame:
+#: Levels of the dyadic lattice over days: enough for any two dates.
+DAY_LEVELS = 32
+
+
+def dyadic_nodes(start: Column, end: Column, levels: int = DAY_LEVELS) -> Column:
+    """The dyadic blocks that make up the whole numbers ``start`` to ``end``.
+
+    An array of structs (level, node): the block of 2^level numbers from
+    ``node * 2^level`` on.  They are disjoint, cover the interval and nothing
+    else, and there are two a level at most, so an interval of any length is
+    O(log length) rows.  On each level the blocks that fit inside are a range; an
+    odd first or an even last one has no whole parent inside, so it is emitted.
+    """
+    def level(k: Column) -> Column:
+        first = -F.call_function("shiftright", -start, k)
+        past = F.call_function("shiftright", end + 1, k)
+        left = F.when((first < past) & (F.pmod(first, F.lit(2)) == 1), F.struct(k.alias("level"), first.alias("node")))
+        right = F.when((first < past) & (F.pmod(past, F.lit(2)) == 1), F.struct(k.alias("level"), (past - 1).alias("node")))
+        return F.array_compact(F.array(left, right))
+
+    top = F.least(F.lit(levels - 1), F.ceil(F.log2((end - start + 2).cast("double"))).cast("int"))
+    return F.when(start <= end, F.flatten(F.transform(F.sequence(F.lit(0), top), level)))
+
+
+def interval_join(facts: DataFrame, ts_col: str, dim: DataFrame, start_col: str, end_col: str,
+                  key: Sequence[str]) -> DataFrame:
     """Left join each fact to the dim rows with ``start <= ts <= end``.
 
-    Both sides get a day key and meet in an equi-join plus the range
-    condition, so the cost grows with the matches, not with facts x dim.
-    The days that occur among the facts are found first, and an interval is
-    expanded to its days between the first and the last of those only; an
-    open end such as 9999-12-31 costs no more than the facts' own span.
+    Long, open and overlapping intervals cost little: an interval is cut into
+    the dyadic blocks of its days, O(log days) rows, and a fact meets the one
+    block of each level that holds its day.  Levels that no interval uses are
+    left out.  The meeting is an equi-join on (level, block) of the facts' keys
+    and times alone, followed by the exact range test; its matches come back to
+    the facts by ``key``, which is unique among them and not NULL.  The days
+    outside the facts' own span are cut off first, which bounds the levels.
     """
-    d = dim.withColumnsRenamed({start_col: "_start", end_col: "_end"})
+    key = list(key)
     span = facts.agg(F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    d = (d.withColumn("_from", F.greatest(F.to_date("_start"), lo))
-         .withColumn("_to", F.least(F.to_date("_end"), hi)).where("_from <= _to")
-         .withColumn("_day", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to"))
-    f = facts.withColumn("_day", F.to_date(ts_col))
-    cond = (f["_day"] == d["_day"]) & f[ts_col].between(d["_start"], d["_end"])
-    out = f.join(d, cond, "left").drop(f["_day"]).drop(d["_day"])
-    return out.drop("_start", "_end")
+    own = [c for c in dim.columns if c not in (start_col, end_col)]
+    first, last = F.greatest(F.to_date(start_col), lo), F.least(F.to_date(end_col), hi)
+    nodes = (dim.select(F.col(start_col).alias("_start"), F.col(end_col).alias("_end"), *own,
+                        F.unix_date(first).alias("_from"), F.unix_date(last).alias("_to"))
+             .withColumn("_at", F.explode(dyadic_nodes(F.col("_from"), F.col("_to"))))
+             .select("_start", "_end", *own, "_at.level", "_at.node")
+             .withColumnsRenamed({"level": "_level", "node": "_node"}))
+    used = nodes.agg(F.collect_set("_level")).scalar()
+    times = (facts.select(*key, F.col(ts_col).alias("_ts")).where(F.col("_ts").isNotNull())
+             .withColumn("_level", F.explode(used))
+             .withColumn("_node", F.call_function("shiftright", F.unix_date(F.to_date("_ts")), F.col("_level"))))
+    hits = (times.join(nodes, ["_level", "_node"]).where(F.col("_ts").between(F.col("_start"), F.col("_end")))
+            .select(*key, *own))
+    return facts.join(hits, key, "left")
 
 
 def not_in_values(df: DataFrame, col: str, values: DataFrame, vcol: str) -> DataFrame:

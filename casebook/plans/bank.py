@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casebook.functions import ci_eq, days_between, int_avg, month_name, ratio, signed_amount
-from casebook.operators import running_total_by_day
+from casebook.operators import fill_months, merge_spellings, running_total_by_day
 from casebook.plans.common import MONEY, row_counts
 
 # Reference literals.
@@ -20,6 +21,7 @@ GB_BASE = Decimal("0.5")            # allocation when the balance is missing or
 GB_PER_UNIT = Decimal("0.02")       # (balance / 100.0) * 2
 DAILY_INTEREST = Decimal("0.000164")
 PERCENTILE_DIGITS = 4
+RATE_EPOCH = dt.date(2000, 1, 1)    # the day that growing amounts are counted back to
 
 
 def scan_sources(t) -> DataFrame:
@@ -91,9 +93,10 @@ def realloc_percentiles(t, percentiles: dict[str, float] | None = None) -> DataF
 
 def txn_type_totals(t) -> DataFrame:
     """Row count and amount per transaction type."""
-    return (t.customer_transactions.groupBy(F.lower("txn_type").alias("txn_type"))
-            .agg(F.count("txn_type").alias("unique_count"),
-                 F.sum("txn_amount").cast(MONEY).alias("total_amount")))
+    g = (t.customer_transactions.groupBy("txn_type")
+         .agg(F.count("txn_type").alias("unique_count"), F.sum("txn_amount").alias("total_amount")))
+    return (merge_spellings(g, ["txn_type"], sums=["unique_count", "total_amount"])
+            .withColumn("total_amount", F.col("total_amount").cast(MONEY)))
 
 
 def deposit_averages(t) -> DataFrame:
@@ -209,12 +212,30 @@ def _sum_gb(df: DataFrame, gb: Column) -> DataFrame:
             .orderBy("month_no"))
 
 
-def alloc_prev_month(t) -> DataFrame:
-    """Storage per month from the previous present month's net (LAG).
+def _calendar_month(day: str) -> list[Column]:
+    return [F.year(day).cast("int").alias("year_no"), *_month_keys(day, False)]
+
+
+def alloc_prev_month(t, intent: bool = False) -> DataFrame:
+    """Storage per month from the previous month's money.
 
     0.5 GB when there is no previous month or it is negative, else
-    ``prev / 100 * 2 + 0.5``; summed over customers per month (months pooled).
+    ``prev / 100 * 2 + 0.5``; summed over customers per month.  Reference: the
+    net of the previous month that has transactions (LAG), months of all years
+    pooled.  Intent: the balance at the end of the calendar month before, per
+    calendar month.  A customer has every month from the first to the last
+    transaction then; one without transactions keeps the balance before it.
     """
+    if intent:
+        nets = (t.customer_transactions.groupBy("customer_id", F.trunc("txn_date", "month").alias("month"))
+                .agg(F.sum(_signed_net()).alias("net")))
+        so_far = (Window.partitionBy("customer_id").orderBy("month")
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        spine = fill_months(nets.withColumn("balance", F.sum("net").over(so_far)), "customer_id", "month", ["balance"])
+        prev = F.lag("balance").over(Window.partitionBy("customer_id").orderBy("month"))
+        return (spine.withColumn("_prev", prev).groupBy(*_calendar_month("month"))
+                .agg(F.sum(_gb(F.col("_prev"))).cast(MONEY).alias("total_data_allocated_gb"))
+                .orderBy("year_no", "month_no"))
     m = _monthly_net(t, with_year=False)
     prev = F.lag("net").over(Window.partitionBy("customer_id").orderBy("month_no"))
     return _sum_gb(m.withColumn("_prev", prev), _gb(F.col("_prev")))
@@ -312,8 +333,39 @@ def alloc_running(t) -> DataFrame:
     return _sum_gb(d, F.col("n_rows") * gb)
 
 
-def alloc_interest(t, daily_rate: Decimal = DAILY_INTEREST) -> DataFrame:
-    """Storage from running balance x daily rate per row; negative gives 0."""
+def alloc_interest(t, daily_rate: Decimal = DAILY_INTEREST, intent: bool = False) -> DataFrame:
+    """Storage from interest on the running balance.
+
+    Reference: running balance x daily rate per transaction row, negative
+    gives 0, months pooled.  Intent: every day earns interest on the balance of
+    the day before, with what it earned so far, and a calendar month's storage
+    is that of the interest earned in it; a month that cost interest gives 0.
+
+    The intent needs no row per day.  A change grows by (1 + r) each day, so a
+    balance at a day is the sum of changes times (1 + r)^(days since).  Counted
+    back to one fixed day, that is a plain running sum of (customer, month)
+    sums, brought forward by one factor a month.  The interest of a month is the
+    rise of the balance less the month's own changes; months without any are
+    filled in between a customer's first and last.
+    """
+    if intent:
+        log = math.log1p(float(daily_rate))
+        grown = lambda day: F.exp(F.datediff(day, F.lit(RATE_EPOCH)) * log)
+        tx = t.customer_transactions
+        months = (tx.groupBy("customer_id", F.trunc("txn_date", "month").alias("month"))
+                  .agg(F.sum(_signed()).alias("net"),
+                       F.sum(_signed().cast("double") / grown(F.col("txn_date"))).alias("worth")))
+        per = Window.partitionBy("customer_id").orderBy("month")
+        so_far = per.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        spine = fill_months(months.withColumn("worth", F.sum("worth").over(so_far)), "customer_id", "month",
+                            ["worth"], ["net"])
+        balance = spine.withColumn("balance", F.col("worth") * grown(F.last_day("month")))
+        earned = (F.col("balance") - F.coalesce(F.lag("balance").over(per), F.lit(0.0))
+                  - F.col("net").cast("double"))
+        gb = F.greatest(F.col("earned"), F.lit(0.0)) * float(GB_PER_UNIT)
+        return (balance.withColumn("earned", earned).groupBy(*_calendar_month("month"))
+                .agg(F.round(F.sum(gb), 2).cast(MONEY).alias("total_data_allocated_gb"))
+                .orderBy("year_no", "month_no"))
     d = _daily_running(t)
     intr = F.col("running_bal") * F.lit(daily_rate)
     gb = F.when(intr < 0, F.lit(Decimal("0"))).otherwise(intr * F.lit(GB_PER_UNIT))

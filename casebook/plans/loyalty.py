@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from casebook.functions import ci_eq, days_between
-from casebook.operators import first_ranked, rank_by, top_k
+from casebook.operators import first_ranked, keep_extreme, rank_by, top_k
 from casebook.plans.common import MONEY, row_counts
 
 # Reference literals (defaults of the parameters below).
@@ -57,12 +57,15 @@ def popular_item(t, most: bool = False) -> DataFrame:
 
     The reference ranks the counts ascending (``most=False``): the least
     bought products, ties kept.  ``most=True`` ranks descending, as its
-    comment asks.
+    comment asks.  Most counts of a customer tie at 1, so ranking would send
+    all of a hot customer's products to one task.  The least count is a plain
+    aggregate instead, and the products that have it come from an equi-join,
+    which Spark splits where one customer has many.
     """
     counts = (t.sales.join(t.menu, "product_id")
               .groupBy("customer_id", "product_name")
               .agg(F.count(F.lit(1)).alias("_n")))
-    return (first_ranked(counts, ["customer_id"], F.desc("_n") if most else F.asc("_n"))
+    return (keep_extreme(counts, ["customer_id"], "_n", "max" if most else "min")
             .select("customer_id", "product_name"))
 
 

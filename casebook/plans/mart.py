@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.functions import ci_eq, int_avg, int_div, parse_dmy2, pct_change, ratio, \
-    us_week_of_dmy2, weekday_name
-from casebook.operators import not_in_values, period_sum, unpivot_dims
+from casebook.functions import ci_eq, int_div, parse_dmy2, pct_change, ratio, \
+    us_week, us_week_of_dmy2, weekday_name
+from casebook.operators import merge_spellings, not_in_values, period_sum, unpivot_dims
 
 # Reference literals.
 CHANGE_DATE = dt.date(2020, 6, 15)
@@ -37,7 +37,7 @@ def clean(t) -> DataFrame:
     last, first = F.right(seg, F.lit(1)), F.left(seg, F.lit(1))
     age = F.when(last == "1", AGE_BANDS["1"]).when(last == "2", AGE_BANDS["2"]) \
         .when(last.isin("3", "4"), AGE_BANDS["3"]).otherwise("Unknown")
-    demo = F.when(first == "C", DEMOGRAPHICS["C"]).when(first == "F", DEMOGRAPHICS["F"]) \
+    demo = F.when(ci_eq(first, "C"), DEMOGRAPHICS["C"]).when(ci_eq(first, "F"), DEMOGRAPHICS["F"]) \
         .otherwise("unknown")
     tx = F.col("transactions")
     return (t.data_mart.withColumn("_d", d)
@@ -47,23 +47,23 @@ def clean(t) -> DataFrame:
                     F.year("_d").cast("int").alias("calendar_year"),
                     "region", "platform",
                     age.alias("age_band"), demo.alias("demographic"),
-                    F.when(seg == "null", "unknown").otherwise(seg).alias("segment"),
+                    F.when(ci_eq(seg, "null"), "unknown").otherwise(seg).alias("segment"),
                     "customer_type", "transactions", "sales",
                     F.when(tx.isNotNull() & (tx != 0), int_div("sales", "transactions"))
                     .alias("avg_transactions")))
 
 
-def _cws(t) -> DataFrame:
-    cws = getattr(t, "clean_weekly_sales", None)
-    return cws if cws is not None else clean(t)
-
+def _cws(t, only: Column | None = None) -> DataFrame:
+    """``clean_weekly_sales``, stored or as cleaned on the way.
 
-def _ci(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` with one spelling per value of ``columns`` that differs in case only (R3).
-
-    The first letters are capital, as in the reference's own literals.
+    ``only`` narrows a stored table, where it prunes folders and row groups.  On
+    the way it would be moved below the weekly aggregation and parse a date for
+    every raw row, so there the callers' own conditions decide after it.
     """
-    return df.withColumns({c: F.initcap(c) for c in columns})
+    cws = getattr(t, "clean_weekly_sales", None)
+    if cws is None:
+        return clean(t)
+    return cws if only is None else cws.where(only)
 
 
 def _sales() -> Column:
@@ -83,14 +83,18 @@ def missing_weeks(t, year: int | None = None, n_weeks: int = N_WEEKS) -> DataFra
     """Week numbers 1..n_weeks absent from the data (``NOT IN`` semantics).
 
     ``year`` narrows the data to one calendar year (the reference uses the
-    whole table).  As with ``NOT IN``, a NULL week in the data (from an
+    whole table).  The weeks that occur are at most 54, so they are gathered
+    as one set.  As with ``NOT IN``, a NULL week in the data (from an
     unparseable date) makes the result empty.
     """
-    cws = _cws(t)
-    if year is not None:
-        cws = cws.where(F.col("calendar_year") == year)
-    seq = cws.sparkSession.range(1, n_weeks + 1).withColumnRenamed("id", "missing_week_num")
-    return not_in_values(seq, "missing_week_num", cws.select("week_number"), "week_number")
+    in_year = F.lit(True) if year is None else F.col("calendar_year") == year
+    week = F.when(in_year, F.col("week_number"))
+    unknown = F.max(F.when(in_year & F.col("week_number").isNull(), True))
+    seen = (_cws(t, in_year).agg(F.collect_set(week).alias("weeks"), unknown.alias("unknown"))
+            .select(F.explode(F.when(F.col("unknown"), F.array_append("weeks", F.lit(None).cast("int")))
+                              .otherwise(F.col("weeks"))).alias("week_number")))
+    seq = seen.sparkSession.range(1, n_weeks + 1).withColumnRenamed("id", "missing_week_num")
+    return not_in_values(seq, "missing_week_num", seen, "week_number")
 
 
 def txn_by_year(t) -> DataFrame:
@@ -101,14 +105,16 @@ def txn_by_year(t) -> DataFrame:
 
 def sales_region_month(t) -> DataFrame:
     """Sales per month number (years pooled) and region."""
-    return (_cws(t).groupBy("month_number", "region")
-            .agg(F.sum(_sales()).alias("total_sales_region_month"))
+    g = (_cws(t).groupBy("month_number", "region")
+         .agg(F.sum(_sales()).alias("total_sales_region_month")))
+    return (merge_spellings(g, ["region"], ["month_number"], ["total_sales_region_month"])
             .orderBy("month_number", "region"))
 
 
 def txn_by_platform(t) -> DataFrame:
-    return (_ci(_cws(t), "platform").groupBy("platform")
-            .agg(F.sum("transactions").cast("bigint").alias("total_count_of_transaction")))
+    g = (_cws(t).groupBy("platform")
+         .agg(F.sum("transactions").cast("bigint").alias("total_count_of_transaction")))
+    return merge_spellings(g, ["platform"], sums=["total_count_of_transaction"])
 
 
 def platform_share(t) -> DataFrame:
@@ -165,19 +171,23 @@ def avg_transaction(t, by_platform: bool = False) -> DataFrame:
 
     ``by_platform=True`` adds the platform split the question asks for.
     """
-    keys = ["calendar_year"] + (["platform"] if by_platform else [])
-    per_txn = ratio(F.sum(_sales()), F.sum("transactions"))
-    return (_ci(_cws(t), "platform").groupBy(*keys)
-            .agg(int_avg("avg_transactions").cast(PCT_TYPE).alias("incorrect_avg_method"),
-                 F.round(per_txn, 2).cast(PCT_TYPE).alias("avg_txn"))
-            .orderBy(*keys))
+    text = ["platform"] if by_platform else []
+    sums = {"_n": F.count("avg_transactions"), "_means": F.sum("avg_transactions"),
+            "_sales": F.sum(_sales()), "_txn": F.sum("transactions")}
+    g = _cws(t).groupBy("calendar_year", *text).agg(*[x.alias(n) for n, x in sums.items()])
+    if text:
+        g = merge_spellings(g, text, ["calendar_year"], list(sums))
+    return (g.select("calendar_year", *text,
+                     int_div("_means", "_n").cast(PCT_TYPE).alias("incorrect_avg_method"),
+                     F.round(ratio("_sales", "_txn"), 2).cast(PCT_TYPE).alias("avg_txn"))
+            .orderBy("calendar_year", *text))
 
 
 def change_week(t, change_date: dt.date = CHANGE_DATE, year: int = CHANGE_YEAR) -> DataFrame:
-    """Week number of the change date."""
-    return (_cws(t).where((F.col("week_date") == F.lit(change_date))
-                          & (F.col("calendar_year") == year))
-            .select("week_number").distinct())
+    """Week number of the change date; a year has at most 54, gathered as one set."""
+    on_date = (F.col("week_date") == F.lit(change_date)) & (F.col("calendar_year") == year)
+    weeks = F.collect_set(F.when(on_date, F.col("week_number")))
+    return _cws(t, on_date).agg(weeks.alias("weeks")).select(F.explode("weeks").alias("week_number"))
 
 
 def _compare(df: DataFrame, before: Column, after: Column, diff_name: str,
@@ -197,14 +207,39 @@ def before_after(t, weeks=WEEKS_4, year: int | None = None,
     """
     (b_lo, b_hi), (a_lo, a_hi) = weeks
     wk = F.col("week_number")
-    df = _cws(t).where(wk.between(min(b_lo, a_lo), max(b_hi, a_hi)))
-    if year is not None:
-        df = df.where(F.col("calendar_year") == year)
-    s = df.agg(period_sum(_sales(), wk, b_lo, b_hi).alias("sales_before"),
-               period_sum(_sales(), wk, a_lo, a_hi).alias("sales_after"))
+    of_year = F.lit(True) if year is None else F.col("calendar_year") == year
+    df = _cws(t, wk.between(min(b_lo, a_lo), max(b_hi, a_hi)) & of_year)
+    s = df.agg(period_sum(_sales(), wk, b_lo, b_hi, of_year).alias("sales_before"),
+               period_sum(_sales(), wk, a_lo, a_hi, of_year).alias("sales_after"))
     return _compare(s, F.col("sales_before"), F.col("sales_after"), diff_name, pct_name, 1)
 
 
+def before_after_changes(t, n_weeks: int = 4, since: dt.date | None = None) -> DataFrame:
+    """Sales in the weeks before and after each change of ``t.change_dates``.
+
+    The weeks are the ``n_weeks`` before that of the change and the ``n_weeks``
+    from it on, within its year.  Changes dated before ``since`` take no part.
+    All changes are compared in one pass over the weekly sums, which meet them
+    by year; a stored ``clean_weekly_sales`` is laid out by year, so the years
+    without a change are not read (dynamic partition pruning).  A change without
+    sales has NULL sums.
+    """
+    changes = t.change_dates if since is None else t.change_dates.where(F.col("change_date") >= F.lit(since))
+    at = changes.select("change_name", "change_date", F.year("change_date").alias("_year"),
+                        us_week("change_date").alias("_week"))
+    stored = getattr(t, "clean_weekly_sales", None)
+    weeks = ((clean(t) if stored is None else stored).select("calendar_year", "week_number", "sales"))
+    # A plain equality would test the parsed year for NULL below the weekly
+    # aggregation, for every raw row.
+    year = F.col("calendar_year")
+    same = year.eqNullSafe(F.col("_year")) if stored is None else year == F.col("_year")
+    off = F.col("week_number") - F.col("_week")
+    sums = (at.join(weeks, same, "left").groupBy("change_name", "change_date")
+            .agg(period_sum(_sales(), off, -n_weeks, -1).alias("sales_before"),
+                 period_sum(_sales(), off, 0, n_weeks - 1).alias("sales_after")))
+    return _compare(sums, None, None, "sales_diff", "percent_diff", 1).orderBy("change_date", "change_name")
+
+
 def before_after_years(t, weeks=WEEKS_4) -> DataFrame:
     """The before/after comparison per calendar year."""
     (b_lo, b_hi), (a_lo, a_hi) = weeks
@@ -217,13 +252,16 @@ def before_after_years(t, weeks=WEEKS_4) -> DataFrame:
 
 
 def _area_sums(df: DataFrame, weeks, year: int) -> DataFrame:
+    """Sums per value of each dimension, with the number of rows in the weeks as ``_in``."""
     (b_lo, b_hi), (a_lo, a_hi) = weeks
-    long = unpivot_dims(_ci(df, "platform", "customer_type"), AREA_DIMS, ["calendar_year", "week_number", "sales"])
+    long = unpivot_dims(df, AREA_DIMS, ["calendar_year", "week_number", "sales"])
     in_year = F.col("calendar_year") == year
     wk = F.col("week_number")
-    return (long.groupBy("metric", "value")
-            .agg(period_sum(_sales(), wk, b_lo, b_hi, in_year).alias("sales_before"),
-                 period_sum(_sales(), wk, a_lo, a_hi, in_year).alias("sales_after"))
+    g = (long.groupBy("metric", "value")
+         .agg(period_sum(_sales(), wk, b_lo, b_hi, in_year).alias("sales_before"),
+              period_sum(_sales(), wk, a_lo, a_hi, in_year).alias("sales_after"),
+              F.count_if(in_year & wk.between(b_lo, a_hi)).alias("_in")))
+    return (merge_spellings(g, ["value"], ["metric"], ["sales_before", "sales_after", "_in"])
             .withColumn("value", F.coalesce(F.col("value"), F.lit("unknown"))))
 
 
@@ -234,20 +272,20 @@ def impact_by_area(t, weeks=WEEKS_12, year: int = CHANGE_YEAR) -> DataFrame:
     of one scan per dimension.  Values with no rows in the range keep NULL
     sums.
     """
-    return _compare(_area_sums(_cws(t), weeks, year), None, None,
+    return _compare(_area_sums(_cws(t), weeks, year).drop("_in"), None, None,
                     "sales_diff", "percent_diff", 2).orderBy("percent_diff", "metric", "value")
 
 
 def worst_area(t, weeks=WEEKS_12, year: int = CHANGE_YEAR) -> DataFrame:
     """Per dimension, the value with the lowest percent change.
 
-    Rows are limited to the year and weeks first.  Ties go to the smaller
-    value; NULL percent changes sort first, as ascending order does.
+    Values without rows in the year and weeks take no part.  Ties go to the
+    smaller value; NULL percent changes sort first, as ascending order does.
     """
     (b_lo, _), (_, a_hi) = weeks
-    df = _cws(t).where((F.col("calendar_year") == year)
-                       & F.col("week_number").between(b_lo, a_hi))
-    c = _compare(_area_sums(df, weeks, year), None, None, "sales_diff", "percent_diff", 2)
+    df = _cws(t, (F.col("calendar_year") == year) & F.col("week_number").between(b_lo, a_hi))
+    areas = _area_sums(df, weeks, year).where("_in > 0").drop("_in")
+    c = _compare(areas, None, None, "sales_diff", "percent_diff", 2)
     w = Window.partitionBy("metric").orderBy(F.col("percent_diff").asc_nulls_first(),
                                              F.col("value").asc_nulls_first())
     return (c.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.plans import bank, loyalty, mart, web
+from casebook.plans import bank, loyalty, mart, upkeep, web
 from casebook.sources import bind
 
 # Parameter values for the bound test data.
@@ -23,6 +23,7 @@ BOUND_POINTS_CUTOFF = dt.date(1998, 12, 31)
 BOUND_CHANGE_DATE = dt.date(1998, 6, 15)
 BOUND_CHANGE_YEAR = 1998
 BOUND_MISSING_WEEKS_YEAR = 2001
+BOUND_DELTA_MONDAYS = (dt.date(1999, 1, 4), dt.date(2000, 1, 3), dt.date(2001, 1, 1))
 
 
 class Bound:
@@ -90,10 +91,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bank_growth_share": _q(bank.growth_share),
     "bank_growth_share_intent": _q(bank.growth_share, intent=True),
     "bank_alloc_prev_month": _q(bank.alloc_prev_month),
+    "bank_alloc_prev_month_intent": _q(bank.alloc_prev_month, intent=True),
     "bank_alloc_avg_deposit": _q(bank.alloc_avg_deposit),
     "bank_alloc_avg_deposit_intent": _q(bank.alloc_avg_balance),
     "bank_alloc_running": _q(bank.alloc_running),
     "bank_alloc_interest": _q(bank.alloc_interest),
+    "bank_alloc_interest_intent": _q(bank.alloc_interest, intent=True),
     # mart
     "mart_clean": _q(mart.clean),
     "mart_weekday": _q(mart.weekday),
@@ -120,12 +123,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                        pct_name="percent_diff_12w"),
     "mart_before_after_4w_years": _q(mart.before_after_years, weeks=mart.WEEKS_4),
     "mart_before_after_12w_years": _q(mart.before_after_years, weeks=mart.WEEKS_12),
+    "mart_before_after_changes": _q(mart.before_after_changes),
+    "mart_clean_incremental": _q(upkeep.weekly_in_deltas, mondays=Bound(BOUND_DELTA_MONDAYS)),
     "mart_impact_by_area": _q(mart.impact_by_area, year=Bound(BOUND_CHANGE_YEAR)),
     "mart_worst_area": _q(mart.worst_area, year=Bound(BOUND_CHANGE_YEAR)),
     # web
     "web_user_count": _q(web.user_count),
     "web_cookies_per_user": _q(web.cookies_per_user),
     "web_visits_per_month": _q(web.visits_per_month),
+    "web_visits_rollup": _q(web.visits_rollup),
+    "web_visits_rollup_approx": _q(web.visits_rollup_approx),
     "web_events_by_type": _q(web.events_by_type),
     "web_purchase_pct": _q(web.purchase_pct),
     "web_checkout_no_purchase_pct": _q(web.checkout_no_purchase_pct),
@@ -143,4 +150,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "web_view_to_cart_rate": _q(web.view_to_cart_rate),
     "web_cart_to_purchase_rate": _q(web.cart_to_purchase_rate),
     "web_visit_campaigns": _q(web.visit_campaigns),
+    "web_visit_campaigns_overlap": _q(web.visit_campaigns, campaigns=Bound("overlapping_campaigns")),
 }

@@ -13,12 +13,13 @@ sources.  Each result is written to ``out_dir/<key>``.
 from __future__ import annotations
 
 import inspect
+import uuid
 
 from pyspark.sql import DataFrame
 
 from casebook.plans import mart, web
 from casebook.plans.registry import QUERIES
-from casebook.sources import materialize
+from casebook.sources import bucket_table, materialize
 
 FAMILIES = ("loyalty", "bank", "mart", "web")
 
@@ -40,14 +41,23 @@ def keys_of(family: str) -> list[str]:
     return [k for k in QUERIES if k.startswith((f"{family}_", f"scan_{family}_"))]
 
 
-def stored(tables, family: str) -> Stored:
-    """``tables`` with the family's shared tables written and read back."""
+def stored(tables, family: str, buckets: int | None = None) -> Stored:
+    """``tables`` with the family's shared tables written and read back.
+
+    ``buckets`` stores the clickstream in that many buckets of ``visit_id``, a
+    catalog table: visits are then aggregated, flagged and counted without an
+    exchange by visit.
+    """
     if family == "mart":
         return Stored(tables, clean_weekly_sales=materialize(
             mart.clean(tables), "clean_weekly_sales", partition_by=["calendar_year"]))
     if family == "web":
-        events = Stored(tables, web_events=materialize(tables.web_events, "web_events"))
-        return Stored(events, product_info=materialize(web.product_funnel(events), "product_info"))
+        events = Stored(tables, web_events=(
+            bucket_table(tables.web_events, f"web_events_{uuid.uuid4().hex}", ["visit_id"], buckets)
+            if buckets else materialize(tables.web_events, "web_events")))
+        return Stored(events, product_info=materialize(web.product_funnel(events), "product_info"),
+                      visit_bitmaps=materialize(web.visit_bitmaps(events), "visit_bitmaps"),
+                      visit_sketches=materialize(web.visit_sketches(events), "visit_sketches"))
     return Stored(tables)
 
 

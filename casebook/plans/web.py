@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casebook.functions import ci_eq, int_div, ratio, year_month
-from casebook.operators import interval_lookup, join_back, membership_flag, ordered_string_agg, top_k
+from casebook.operators import bitmaps, count_bitmaps, count_sketches, interval_join, join_back, membership_flag, merge_spellings, \
+    ordered_string_agg, sketches, top_k
 
 # Event codes and other reference literals.
 VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
@@ -40,6 +41,55 @@ def visits_per_month(t) -> DataFrame:
             .agg(F.countDistinct("visit_id").alias("unique_visit_count")).orderBy("month"))
 
 
+def _visit_ids(t) -> DataFrame:
+    """(day, visit): the days of each visit, with a whole number for its id.
+
+    The number is that of the visit's first event.  A visit has a row per day,
+    so the window sees a count bounded by the calendar.
+    """
+    days = (t.web_events.groupBy("visit_id", F.to_date("event_time").alias("day"))
+            .agg(F.min("sequence_number").alias("_first")))
+    first = F.min("_first").over(Window.partitionBy("visit_id"))
+    return days.select("day", "visit_id", first.alias("visit"))
+
+
+def visit_bitmaps(t) -> DataFrame:
+    """The visits of each day as bitmaps, to be stored and merged."""
+    return bitmaps(_visit_ids(t), ["day"], "visit")
+
+
+def visit_sketches(t) -> DataFrame:
+    """The visits of each day as sketches, to be stored and merged."""
+    return sketches(t.web_events.withColumn("day", F.to_date("event_time")), ["day"], "visit_id")
+
+
+def _periods(stored: DataFrame) -> DataFrame:
+    """Every day's row once for its month and once for its year."""
+    grains = F.array(*[F.struct(F.lit(g).alias("grain"), F.date_format("day", f).alias("period"))
+                       for g, f in (("month", "yyyy-MM"), ("year", "yyyy"))])
+    return stored.withColumn("_p", F.explode(grains)).select("*", "_p.*").drop("_p", "day")
+
+
+def visits_rollup(t) -> DataFrame:
+    """Distinct visits per month and per year, from one table of daily bitmaps.
+
+    The table is ``visit_bitmaps`` of ``t`` where it is stored; the events are
+    not read then, whatever the periods asked for.  Counts are exact.
+    """
+    stored = getattr(t, "visit_bitmaps", None)
+    days = visit_bitmaps(t) if stored is None else stored
+    return (count_bitmaps(_periods(days), ["grain", "period"], "unique_visit_count")
+            .orderBy("grain", "period"))
+
+
+def visits_rollup_approx(t) -> DataFrame:
+    """The same from daily sketches (``visit_sketches``); counts are estimates."""
+    stored = getattr(t, "visit_sketches", None)
+    days = visit_sketches(t) if stored is None else stored
+    return (count_sketches(_periods(days), ["grain", "period"], "unique_visit_count")
+            .orderBy("grain", "period"))
+
+
 def events_by_type(t) -> DataFrame:
     return (t.web_events.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
             .orderBy("event_type"))
@@ -87,16 +137,18 @@ def top_pages(t, n: int = TOP_PAGES) -> DataFrame:
     """Top pages by views (ties broken by page name)."""
     views = (t.web_events.where(_is(VIEW)).join(t.page_hierarchy, "page_id")
              .groupBy("page_name").agg(F.count(F.lit(1)).alias("page_view")))
+    views = merge_spellings(views, ["page_name"], sums=["page_view"])
     return top_k(views, n, F.desc("page_view"), F.asc("page_name"))
 
 
 def category_counts(t) -> DataFrame:
     """Cart adds and views per product category."""
-    return (t.web_events.join(t.page_hierarchy, "page_id")
-            .where(F.col("product_category").isNotNull())
-            .groupBy("product_category")
-            .agg(F.count(F.when(_is(CART_ADD), 1)).alias("cart_add_count"),
-                 F.count(F.when(_is(VIEW), 1)).alias("view_count"))
+    g = (t.web_events.join(t.page_hierarchy, "page_id")
+         .where(F.col("product_category").isNotNull())
+         .groupBy("product_category")
+         .agg(F.count(F.when(_is(CART_ADD), 1)).alias("cart_add_count"),
+              F.count(F.when(_is(VIEW), 1)).alias("view_count")))
+    return (merge_spellings(g, ["product_category"], sums=["cart_add_count", "view_count"])
             .orderBy("product_category"))
 
 
@@ -152,7 +204,8 @@ def product_funnel(t, single_add: int = SINGLE_ADD) -> DataFrame:
 
 def category_funnel(t, single_add: int = SINGLE_ADD) -> DataFrame:
     """The product funnel per product category."""
-    return _funnel(_visit_product(t), ["product_category"], single_add)
+    g = _funnel(_visit_product(t), ["product_category"], single_add)
+    return merge_spellings(g, ["product_category"], sums=["views", "cart_add", "abandoned", "purchases"])
 
 
 def _info(t) -> DataFrame:
@@ -216,15 +269,17 @@ def cart_to_purchase_rate(t) -> DataFrame:
                         .alias("avg_view_to_cart_conversion"))
 
 
-def visit_campaigns(t) -> DataFrame:
-    """One row per (user, visit) with counts, cart products and campaign.
+def visit_campaigns(t, campaigns: str = "campaign_identifier") -> DataFrame:
+    """One row per (user, visit, campaign) with counts, cart products and campaign.
 
     Visits are aggregated first, with plain counts in a hash aggregate; the
     ordered product list is built from the cart adds alone.  The campaign is
-    then looked up once per visit by its start time, as an equi-join on the
-    start day plus the range test, so no visit is compared with every
-    campaign.  This equals the reference's double range join when campaigns
-    do not overlap.
+    then looked up once per visit by its start time in the dyadic blocks of the
+    campaigns' days, so no visit is compared with every campaign and campaigns
+    may be many, long, open or overlap.  A visit within several campaigns has a
+    row for each, with the same counts; one within none has a NULL campaign.
+    This equals the reference's double range join when campaigns do not overlap.
+    ``campaigns`` names the table of campaigns.
     """
     ev = t.users.join(t.web_events, "cookie_id")
     products = t.page_hierarchy.where(F.col("product_id").isNotNull())
@@ -239,6 +294,6 @@ def visit_campaigns(t) -> DataFrame:
                F.count(F.when(_is(IMPRESSION), 1)).alias("impression"),
                F.count(F.when(_is(CLICK), 1)).alias("click")))
     vs = join_back(vs, carts, ["user_id", "visit_id"])
-    camp = t.campaign_identifier.select("campaign_name", "start_date", "end_date")
-    return interval_lookup(vs, "visit_start_time", camp, "start_date",
-                           "end_date").orderBy("user_id")
+    camp = getattr(t, campaigns).select("campaign_name", "start_date", "end_date")
+    return interval_join(vs, "visit_start_time", camp, "start_date", "end_date",
+                         ["user_id", "visit_id"]).orderBy("user_id")

@@ -35,4 +35,25 @@ SCHEMAS = {
                               ("product_category", _S), ("product_id", _I)),
     "campaign_identifier": _struct(("campaign_name", _S), ("start_date", _TS),
                                    ("end_date", _TS)),
+    "change_dates": _struct(("change_name", _S), ("change_date", _D)),
+}
+
+_F = T.DoubleType()
+
+#: The Parquet source tables that the test binding reads; a scan that declares
+#: its schema opens no file to infer one.
+SOURCES = {
+    "region": _struct(("r_regionkey", _I), ("r_name", _S)),
+    "nation": _struct(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+    "customer": _struct(("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _F),
+                        ("c_mktsegment", _S)),
+    "part": _struct(("p_partkey", _L), ("p_name", _S), ("p_brand", _S), ("p_type", _S), ("p_size", _I),
+                    ("p_retailprice", _F)),
+    "orders": _struct(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _F),
+                      ("o_orderdate", _TS), ("o_orderpriority", _S)),
+    "lineitem": _struct(("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+                        ("l_quantity", _F), ("l_extendedprice", _F), ("l_discount", _F), ("l_tax", _F),
+                        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS)),
+    "events": _struct(("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _F),
+                      ("props", _S)),
 }

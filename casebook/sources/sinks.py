@@ -17,6 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from casebook.session import checkpoint_dir
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder that no other job uses, under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
+
+
 def materialize(df: DataFrame, name: str, path: str | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as table ``name`` (overwrite) and return it read back.
@@ -25,7 +30,7 @@ def materialize(df: DataFrame, name: str, path: str | None = None,
     on them prune whole folders.
     """
     spark = df.sparkSession
-    target = path or f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
+    target = path or new_folder(spark, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -42,6 +47,18 @@ def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.table(name)
 
 
+def bucket_table(df: DataFrame, name: str, by: list[str], buckets: int) -> DataFrame:
+    """Store ``df`` as catalog table ``name`` in ``buckets`` buckets of ``by``, and read it back.
+
+    Aggregates and joins by those columns, or by them and more, then need no
+    exchange: rows that belong together are in one bucket already.  The files lie
+    in the warehouse folder, which a cluster's executors share.
+    """
+    (df.repartition(buckets, *by).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, *by).sortBy(*by).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     """``DROP TABLE IF EXISTS name``."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

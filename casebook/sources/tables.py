@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casebook.operators.sequence import next_date_in_order
 from casebook.operators.sessions import sessionize
-from casebook.sources.schemas import SCHEMAS
+from casebook.sources.schemas import SCHEMAS, SOURCES
 
 MONEY_IN = "decimal(18,2)"
 
@@ -25,6 +25,11 @@ EVENT_CODES = {"view": 1, "click": 2, "purchase": 3, "signup": 4, "error": 5}
 CAMPAIGNS = [("Campaign A", "2024-01-02", "2024-01-09"),
              ("Campaign B", "2024-01-11", "2024-01-18"),
              ("Campaign C", "2024-01-20", "2024-01-28")]
+OVERLAPPING_CAMPAIGNS = CAMPAIGNS + [("Campaign D", "2024-01-05", "2024-01-25"),
+                                     ("Campaign E", "2024-01-07", "2024-01-07"),
+                                     ("Always on", "2024-01-15", "9999-12-31")]
+CHANGES = [("packaging", "1998-06-15"), ("prices", "1996-03-04"), ("logo", "1998-09-07"),
+           ("loyalty card", "2000-12-18")]
 ORDER_STATUS_TXN = {"O": "deposit", "F": "withdrawal", "P": "purchase"}
 RETURNFLAG_CUSTOMER = {"A": "New", "N": "Existing"}  # anything else: Guest
 PRODUCT_PAGE_MIN = 13   # part keys from 13 on are product pages
@@ -46,7 +51,12 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A source table, read with its declared schema."""
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def shipped(self, start: dt.date | None, end: dt.date | None) -> Tables:
+        """The same tables with the line items shipped from ``start`` and before ``end`` only."""
+        return _Shipped(self.spark, self.sf_dir, start, end)
 
     # ---------------------------------------------------------------- loyalty
     @cached_property
@@ -105,8 +115,8 @@ class Tables:
 
     # ------------------------------------------------------------------- mart
     @cached_property
-    def data_mart(self) -> DataFrame:
-        """Weekly sales per (week, region, platform, segment, customer type).
+    def weekly_amounts(self) -> DataFrame:
+        """Weekly orders and exact sales per (week, region, platform, segment, customer type).
 
         ``transactions`` counts distinct orders.  Region and segment are
         attributes of the order, so lineitem is first summed per (order, week,
@@ -143,7 +153,13 @@ class Tables:
                         "_sales"))
         return (rows.groupBy("week_date", "region", "platform", "segment", "customer_type")
                 .agg(F.count(F.lit(1)).cast("int").alias("transactions"),
-                     F.floor(F.sum("_sales")).cast("bigint").alias("sales")))
+                     F.sum("_sales").alias("amount")))
+
+    @cached_property
+    def data_mart(self) -> DataFrame:
+        """Weekly sales in whole units, as the mart's source has them."""
+        return (self.weekly_amounts.withColumn("sales", F.floor("amount").cast("bigint"))
+                .drop("amount"))
 
     # -------------------------------------------------------------------- web
     def _events(self) -> DataFrame:
@@ -182,11 +198,42 @@ class Tables:
     def event_identifier(self) -> DataFrame:
         return self.spark.createDataFrame(EVENT_NAMES, SCHEMAS["event_identifier"])
 
+    def _campaigns(self, campaigns: list[tuple[str, str, str]]) -> DataFrame:
+        rows = [(n, dt.datetime.fromisoformat(s), dt.datetime.fromisoformat(e)) for n, s, e in campaigns]
+        return self.spark.createDataFrame(rows, SCHEMAS["campaign_identifier"])
+
     @cached_property
     def campaign_identifier(self) -> DataFrame:
-        rows = [(n, dt.datetime.fromisoformat(s), dt.datetime.fromisoformat(e))
-                for n, s, e in CAMPAIGNS]
-        return self.spark.createDataFrame(rows, SCHEMAS["campaign_identifier"])
+        return self._campaigns(CAMPAIGNS)
+
+    @cached_property
+    def change_dates(self) -> DataFrame:
+        """Several changes whose effect on weekly sales is compared at once."""
+        rows = [(n, dt.date.fromisoformat(d)) for n, d in CHANGES]
+        return self.spark.createDataFrame(rows, SCHEMAS["change_dates"])
+
+    @cached_property
+    def overlapping_campaigns(self) -> DataFrame:
+        """Campaigns that overlap, last one day or have an open end."""
+        return self._campaigns(OVERLAPPING_CAMPAIGNS)
+
+
+class _Shipped(Tables):
+    """Tables with the line items of a span of days only."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, start: dt.date | None, end: dt.date | None):
+        super().__init__(spark, sf_dir)
+        self.start, self.end = start, end
+
+    def raw(self, name: str) -> DataFrame:
+        df = super().raw(name)
+        if name == "lineitem":
+            at = lambda day: F.lit(day).cast("timestamp_ntz")
+            if self.start:
+                df = df.where(F.col("l_shipdate") >= at(self.start))
+            if self.end:
+                df = df.where(F.col("l_shipdate") < at(self.end))
+        return df
 
 
 def bind(spark: SparkSession, sf_dir: str) -> Tables:

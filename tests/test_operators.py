@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window, functions as F
 
 from casebook.operators import (
-    first_ranked, interval_lookup, keep_extreme, membership_flag, next_date_in_order, not_in_values,
+    dyadic_nodes, fill_months, first_ranked, interval_join, keep_extreme, membership_flag, next_date_in_order, not_in_values,
     rank_by, rows_at_max, running_total_by_day, sessionize, unpivot_dims,
 )
 from tests.conftest import rows
@@ -87,23 +87,61 @@ def test_not_in_values_null_semantics(spark):
     assert not_in_values(seq, "x", with_null, "w").count() == 0
 
 
-def test_interval_lookup(spark):
+def test_interval_join(spark):
     facts = spark.createDataFrame(
         [(1, dt.datetime(2024, 1, 2, 0, 0)), (2, dt.datetime(2024, 1, 9, 0, 0)),
-         (3, dt.datetime(2024, 1, 9, 0, 1)), (4, dt.datetime(2024, 1, 5, 12))],
+         (3, dt.datetime(2024, 1, 9, 0, 1)), (4, dt.datetime(2024, 1, 5, 12)), (5, None)],
         "id int, ts timestamp_ntz")
     dim = spark.createDataFrame(
         [("A", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 9)),
          ("B", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6)),    # overlaps A
          ("C", dt.datetime(2024, 1, 9, 0, 1), dt.datetime(9999, 12, 31)),  # open end
-         ("D", dt.datetime(1999, 1, 1), dt.datetime(1999, 1, 2))],   # before all facts
+         ("D", dt.datetime(1999, 1, 1), dt.datetime(1999, 1, 2)),    # before all facts
+         ("E", dt.datetime(2024, 1, 9), dt.datetime(2024, 1, 2)),    # ends before it starts
+         ("F", None, dt.datetime(2024, 1, 9))],
         "name string, s timestamp_ntz, e timestamp_ntz")
-    exp = [(1, "A"), (2, "A"), (3, "C"), (4, "A"), (4, "B")]
-    assert rows(interval_lookup(facts, "ts", dim, "s", "e"), "id", "name") == exp
+    exp = [(1, "A"), (2, "A"), (3, "C"), (4, "A"), (4, "B"), (5, None)]
+    assert rows(interval_join(facts, "ts", dim, "s", "e", ["id"]), "id", "name") == exp
     none = facts.where("id = 0")
-    assert interval_lookup(none, "ts", dim, "s", "e").count() == 0
-    late = dim.where("name = 'D'")
-    assert rows(interval_lookup(facts, "ts", late, "s", "e"), "name") == [(None,)] * 4
+    assert interval_join(none, "ts", dim, "s", "e", ["id"]).count() == 0
+    for few in ("name = 'D'", "name = 'X'"):
+        assert rows(interval_join(facts, "ts", dim.where(few), "s", "e", ["id"]), "name") == [(None,)] * 5
+
+
+def test_interval_join_equals_brute_force_on_many_overlapping_intervals(spark):
+    rng = random.Random(3)
+    day = lambda: dt.datetime(2001, 1, 1) + dt.timedelta(minutes=rng.randrange(60 * 24 * 4000))
+    points = [(i, day()) for i in range(400)]
+    spans = []
+    for i in range(150):
+        s, e = sorted((day(), day()))
+        spans.append((f"n{i}", s, dt.datetime(9999, 12, 31) if i % 11 == 0 else e))
+    facts = spark.createDataFrame(points, "id int, ts timestamp_ntz")
+    dim = spark.createDataFrame(spans, "name string, s timestamp_ntz, e timestamp_ntz")
+    got = rows(interval_join(facts, "ts", dim, "s", "e", ["id"]), "id", "name")
+    assert [r for r in got if r[1]] == sorted((i, n) for i, p in points for n, s, e in spans if s <= p <= e)
+
+
+def test_dyadic_nodes_cover_an_interval_once(spark):
+    rng = random.Random(4)
+    spans = [(a, a + rng.choice([-1, 0, 1, 2, 7, 100, 3000])) for a in (rng.randint(-3000, 3000) for _ in range(300))]
+    df = spark.createDataFrame(spans, "a int, b int").select(
+        "a", "b", dyadic_nodes(F.col("a"), F.col("b")).alias("nodes"))
+    for r in df.collect():
+        covered = sorted(x for n in r.nodes or [] for x in range(n.node << n.level, n.node + 1 << n.level))
+        assert covered == list(range(r.a, r.b + 1))
+        assert len(r.nodes or []) <= 2 * max(1, (r.b - r.a + 2).bit_length())
+    wide = spark.createDataFrame([(-(10 ** 6), 2932896)], "a int, b int")  # to the last date
+    assert len(wide.select(dyadic_nodes(F.col("a"), F.col("b"))).first()[0]) <= 2 * 22
+
+
+def test_fill_months(spark):
+    data = [("a", dt.date(2023, 11, 1), 5, 5), ("a", dt.date(2024, 2, 1), 7, 2), ("b", dt.date(2024, 1, 1), 1, 1)]
+    df = spark.createDataFrame(data, "k string, m date, bal int, net int")
+    got = rows(fill_months(df, "k", "m", ["bal"], ["net"]))
+    assert got == [("a", dt.date(2023, 11, 1), 5, 5), ("a", dt.date(2023, 12, 1), 5, 0),
+                   ("a", dt.date(2024, 1, 1), 5, 0), ("a", dt.date(2024, 2, 1), 7, 2), ("b", dt.date(2024, 1, 1), 1, 1)]
+    assert fill_months(df.where("k = 'c'"), "k", "m", ["bal"]).count() == 0
 
 
 def test_first_ranked_keeps_ties(spark):

@@ -40,10 +40,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) - {"web_visits_rollup_approx"} == set(SQL)  # that one estimates
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
@@ -55,6 +55,7 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_entry_smoke(spark):
+    import __spark_entry__ as entry
     df = entry.entry(spark)
     assert df.columns == ["product_id", "product_name", "product_category", "views",
                           "cart_add", "abandoned", "purchases"]
