@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
@@ -165,12 +166,17 @@ def test_marks_leave_the_article(html):
     assert extraction.blocks(html) == ["Title", "The whole of a long article stands here."]
 
 
+def own_words(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+
+
+LINE = "Read our new rules before you go on with this site today"
+
+
 def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     rng = random.Random(3)
-    own = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
-    line = "Read our new rules before you go on with this site today"
-    bodies = [own(40) for _ in range(12)]
-    data = [(i, f"https://A.example/{i}", f"<div>{line}</div><div>{b} {line} tail{i}</div>")
+    bodies = [own_words(rng, 40) for _ in range(12)]
+    data = [(i, f"https://A.example/{i}", f"<div>{LINE}</div><div>{b} {LINE} tail{i}</div>")
             for i, b in enumerate(bodies)]
     data += [(100 + i, f"http://b.example/{i}", f"<p>{bodies[0]}</p>") for i in range(6)]  # copies stay
     data += [(200, None, "<p>alone here</p>"), (201, "x", None), (None, "https://a.example/n", ""),
@@ -183,22 +189,78 @@ def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     assert rows(got) == sorted(want, key=lambda r: tuple((v is not None, v) for v in r))
 
 
-def test_repeated_runs_equal_brute_force():
-    rng = np.random.default_rng(2)
-    for _ in range(30):
-        sizes = rng.integers(0, 40, 6)
-        tokens = rng.integers(0, 3, sizes.sum()).astype(np.uint64)
-        page = np.repeat(np.arange(6), sizes)
-        got = extraction.repeated(tokens, page, 3)
-        where, w = defaultdict(set), extraction.MIN_RUN
-        runs = [i for i in range(len(tokens) - w + 1) if page[i] == page[i + w - 1]]
-        for i in runs:
-            where[tuple(tokens[i:i + w])].add(page[i])
-        want = np.zeros(len(tokens), bool)
-        for i in runs:
-            if len(where[tuple(tokens[i:i + w])]) >= 3:
-                want[i:i + w] = True
-        assert (got == want).all()
+def test_boilerplate_of_a_section_a_small_host_and_a_long_menu_goes(spark):
+    rng = random.Random(5)
+    menu = own_words(rng, 60)
+    bodies = [own_words(rng, 12) for _ in range(60)]
+    page = lambda i, line: f"<div>{line}</div><div>{bodies[i]}</div>" if line else f"<div>{bodies[i]}</div>"
+    data = [(i, f"https://big.example/{i}", page(i, LINE if i % 5 == 0 else "")) for i in range(50)]  # one in five
+    data += [(50 + i, f"https://small.example/{i}", page(50 + i, menu)) for i in range(3)]  # longer than the article
+    data += [(53 + i, f"https://two.example/{i}", page(53 + i, LINE)) for i in range(2)]  # two pages are too few
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(data, PAGES)).collect()}
+    assert all(got[i] == bodies[i] for i in range(53))
+    assert all(got[i] == f"{LINE}\n\n{bodies[i]}" for i in (53, 54))
+
+
+def test_one_more_page_changes_others_only_by_a_run_that_crosses_the_count(spark):
+    rng = random.Random(6)
+    bodies = [own_words(rng, 30) for _ in range(8)]
+    data = [(i, "http://h/", f"<p>{b}</p><p>{LINE if i < 2 else ''}</p>") for i, b in enumerate(bodies)]
+    text = lambda d: {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(d, PAGES)).collect()}
+    before = text(data)
+    same = text(data + [(90, "http://h/", f"<p>{own_words(rng, 30)}</p>"), (91, "http://other/", f"<p>{LINE}</p>"),
+                        (92, "http://h/", data[0][2])])  # a copy is no further page
+    assert {i: same[i] for i in before} == before and before[0].endswith(LINE)
+    crossed = text(data + [(90, "http://h/", f"<p>{own_words(rng, 30)}</p><p>{LINE}</p>")])
+    assert {i: t for i, t in crossed.items() if i < 90} == {i: b for i, b in enumerate(bodies)}
+
+
+def test_near_copies_and_marked_articles_keep_shared_text(spark):
+    rng = random.Random(7)
+    words = own_words(rng, 80).split()
+    near = [" ".join(words[:k] + ["edited"] + words[k + 1:]) for k in (20, 40, 60, 70)]
+    shared = own_words(rng, 60)
+    marked = [f"{own_words(rng, 20)}\n\n{shared}" for _ in range(5)]
+    data = [(i, "http://h/", f"<p>{t}</p>") for i, t in enumerate(near)]
+    data += [(10 + i, "http://h/", "<article>" + "".join(f"<p>{b}</p>" for b in t.split("\n\n")) + "</article>")
+             for i, t in enumerate(marked)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(data, PAGES)).collect()}
+    assert got == dict(enumerate(near)) | {10 + i: t for i, t in enumerate(marked)}
+
+
+@pytest.mark.parametrize("name", "discussion widgets search comments navigation related notice byline tracking "
+                                 "login social replies".split())
+def test_sections_of_an_article_keep_their_text(name):
+    html = f"<article><h2>T</h2><section id={name}><h3>Head</h3><p>Some text.</p></section></article>"
+    assert extraction.blocks(html) == ["T", "Head", "Some text."]
+
+
+def test_inline_elements_keep_their_text():
+    assert extraction.blocks("<p>Let <math>x</math> be <label>real</label>, <output>1</output>.</p>") == [
+        "Let x be real, 1."]
+
+
+@pytest.mark.parametrize("html", [
+    "<b>" * 100_000 + "x" + "</i>" * 100_000, "<b>" * 50_000 + "<p>y</p>" * 50_000,
+    "<b>" * 50_000 + "<li>y</li>" * 50_000, "<div>" * 100_000 + "z" + "</p>" * 100_000,
+    "<a>w</a>" * 50_000 + "<b><i>" * 50_000 + "v</b>" * 50_000])
+def test_parsing_is_linear_in_open_elements(html):
+    began = time.perf_counter()
+    extraction.blocks(html)
+    assert time.perf_counter() - began < 5
+
+
+def test_runs_equal_brute_force():
+    rng = random.Random(2)
+    streams = [[" ".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 6))]
+               for _ in range(40)]
+    run, stream, at = extraction.runs_of(streams)
+    w = extraction.MIN_RUN
+    want = {(i, k): tuple(t[k:k + w]) for i, t in enumerate(" ".join(s).split() for s in streams)
+            for k in range(len(t) - w + 1)}
+    got = dict(zip(zip(stream.tolist(), at.tolist()), run.tolist()))
+    assert set(got) == set(want)
+    assert len(set(zip(got.values(), (want[k] for k in got)))) == len(set(want.values())) == len(set(got.values()))
 
 
 def test_extraction_of_no_pages(spark):
