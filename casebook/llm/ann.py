@@ -5,8 +5,10 @@ what rounding took away is kept.  A tile multiplies a block of queries with a
 block of candidates in int8 values, which gives every distance up to the sum of
 the two rounding lengths.  A candidate survives a tile if its lower bound is no
 larger than the query's k-th smallest upper bound there, so none of the tile's
-k nearest is lost.  Survivors are recomputed from the original values in double
-precision, each tile keeps k per query, and heaps merge the tiles.
+k nearest is lost.  Bounds are taken on values scaled by a power of two, and a
+candidate whose bound is no number survives, so no size of values loses one.
+Survivors are recomputed from the original values in double precision, a task
+keeps k per query of all its tiles of a query block, and heaps merge the tasks.
 
 The result is exact.  Defined cases: vectors that are NULL, empty, zero or hold
 NULL or a non-finite component take no part, nor do vectors whose length
@@ -33,6 +35,10 @@ QUERY_BLOCK = 4096
 ROW_BLOCK = 1024
 #: Queries that one step of a tile compares.
 STRIPE = 512
+#: Tasks of the tiles at most, as a multiple of the session's shuffle partitions.
+TASKS = 4
+#: Candidates that a task holds before it drops all but k per query.
+HELD = 1 << 20
 
 
 def vectors(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -48,6 +54,7 @@ def vectors(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(int8 values, scale, squared length of the rounded vector, rounding length)."""
     scale = np.abs(x).max(1) / 127
+    scale[scale == 0] = 1  # too small next to the others of its tile: rounded to nothing
     values = np.rint(x / scale[:, None]).astype(np.int8)
     rounded = values * scale[:, None]
     return (values, scale, np.einsum("ij,ij->i", rounded, rounded),
@@ -55,19 +62,46 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of paired rows, components added up in order."""
-    total = np.zeros(len(a))
-    for k in range(a.shape[1]):
-        step = a[:, k] - b[:, k]
-        total += step * step
-    return np.sqrt(total)
+    """Euclidean distances of paired rows, components added up in order.
+
+    Where squares overflow, the rows are scaled by a power of two first, which
+    changes no digit of the result.
+    """
+    def plain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(a))
+        for k in range(a.shape[1]):
+            step = a[:, k] - b[:, k]
+            total += step * step
+        return np.sqrt(total)
+
+    with np.errstate(over="ignore"):
+        out = plain(a, b)
+        large = np.flatnonzero(~np.isfinite(out))
+        if len(large):
+            up = np.frexp(np.maximum(np.abs(a[large]).max(1), np.abs(b[large]).max(1)))[1]
+            out[large] = np.ldexp(plain(np.ldexp(a[large], -up[:, None]), np.ldexp(b[large], -up[:, None])), up)
+    return out
+
+
+def best_of(q: np.ndarray, c: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` nearest candidates of each query; of rows that repeat an id the nearest."""
+    order = np.lexsort((d, c, q))
+    q, c, d = q[order], c[order], d[order]
+    new = np.ones(len(q), bool)
+    new[1:] = (q[1:] != q[:-1]) | (c[1:] != c[:-1])
+    q, c, d = q[new], c[new], d[new]
+    order = np.lexsort((c, d, q))
+    q, c, d = q[order], c[order], d[order]
+    near = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[near], c[near], d[near]
 
 
 def tile(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray,
          k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query, candidate, distance): the k nearest of the tile, stripe by stripe."""
-    qv, qs, qq, qe = quantised(q)
-    cv, cs, cc, ce = quantised(c)
+    up = -int(np.frexp(max(np.abs(q).max(), np.abs(c).max()))[1])
+    qv, qs, qq, qe = quantised(np.ldexp(q, up))
+    cv, cs, cc, ce = quantised(np.ldexp(c, up))
     # int8 products add up exactly in float32 while the sum stays below 2**24.
     kind = np.float32 if q.shape[1] * 127 * 127 < 1 << 24 else np.float64
     cv = cv.astype(kind).T
@@ -84,7 +118,7 @@ def tile(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray,
         upper[own] = np.inf
         if len(c) > need:
             least = np.partition(upper, need - 1, axis=1)[:, need - 1:need]
-            keep = (lower <= least) & ~own
+            keep = ~(lower > least) & ~own
         else:
             keep = ~own
         i, j = np.nonzero(keep)
@@ -107,8 +141,10 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = K, vec_id: str = "vec_
     """(query_id, rank, vec_id, score): the ``k`` rows nearest to each query, nearest first.
 
     A query and a row with the same id are the same vector.  Blocks are dealt
-    by hash; every (query block, row block, dim) is one task's tile, and each
-    row is sent once per query block, each query once per row block.
+    by hash; every (query block, row block, dim) is a tile, and each row is sent
+    once per query block, each query once per row block.  A task takes the tiles
+    of a query block with several row blocks, so that there are ``TASKS`` times
+    the session's shuffle partitions at most, and sends k candidates a query.
     """
     queries = saved(vectors(queries, vec_id, embedding).dropDuplicates(), "queries")
     rows = saved(vectors(rows, vec_id, embedding).dropDuplicates(), "rows")
@@ -123,18 +159,36 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = K, vec_id: str = "vec_
 
     both = dealt(queries, "i", q_blocks, "j", r_blocks, 1).unionByName(
         dealt(rows, "j", r_blocks, "i", q_blocks, 0))
-    n_parts = both.sparkSession.sparkContext.defaultParallelism
-    both = (both.repartition(max(n_parts, q_blocks * r_blocks), "i", "j", "dim")
-            .sortWithinPartitions("i", "j", "dim", "query"))
+    spark = both.sparkSession
+    most = max(TASKS * int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    per_task = -(-q_blocks * r_blocks // most)
+    both = (both.withColumn("g", F.floor(F.col("j") / per_task))
+            .repartition(min(most, q_blocks * -(-r_blocks // per_task)), "i", "g", "dim")
+            .sortWithinPartitions("i", "g", "dim", "j", "query"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, "i", "j", "dim"):
+        held: list[tuple[np.ndarray, ...]] = []
+        size, key = 0, None
+
+        def best() -> tuple[np.ndarray, ...]:
+            return best_of(*map(np.concatenate, zip(*held)), k)
+
+        for group in groups(batches, "i", "g", "dim", "j"):
+            if key != (key := tuple(group.column(c)[0].as_py() for c in ("i", "g", "dim"))) and held:
+                yield pa.record_batch(dict(zip(("query_id", "vec_id", "score"), best())))
+                held, size = [], 0
             n = int((group.column("query").to_numpy() == 0).sum())
             if n == 0 or n == len(group):
                 continue
             ids, values = group.column("vec_id").to_numpy(), _matrix(group.column("v"))
-            for q, c, d in tile(ids[n:], values[n:], ids[:n], values[:n], k):
-                yield pa.record_batch({"query_id": q, "vec_id": c, "score": d})
+            for found in tile(ids[n:], values[n:], ids[:n], values[:n], k):
+                held.append(found)
+                size += len(found[0])
+            if size > HELD:
+                held = [best()]
+                size = len(held[0][0])
+        if held:
+            yield pa.record_batch(dict(zip(("query_id", "vec_id", "score"), best())))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, dict[int, float]] = {}

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import re
 import time
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
@@ -53,7 +54,32 @@ def vectors():
     return data
 
 
-@pytest.mark.parametrize("blocks", [(4096, 1024), (5, 9)])
+@pytest.mark.parametrize("exponent", [160, -160, 307])
+def test_very_large_and_small_vectors_find_all_ranks(spark, exponent):
+    rng = np.random.default_rng(5)
+    data = [(i, (rng.normal(size=8) * 10.0 ** exponent).tolist()) for i in range(200)]
+    data += [(i + 200, rng.normal(size=8).tolist()) for i in range(20)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = rows(ann.nearest(df.where("vec_id % 100 = 0"), df, k=10, query_block=2, row_block=16))
+    big = [(i, np.array(v, np.longdouble)) for i, v in data]
+    want = []
+    for q, v in big:
+        if q % 100 == 0:
+            near = sorted((float(np.sqrt(((v - w) ** 2).sum())), i) for i, w in big if i != q)[:10]
+            want += [(q, r, i, d) for r, (d, i) in enumerate(near, 1)]
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
+    assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)], rtol=1e-12)
+
+
+def test_tasks_of_the_tiles_are_bounded(spark, vectors):
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    plan = ann.nearest(df, df, query_block=1, row_block=1)._jdf.queryExecution().executedPlan().toString()
+    most = ann.TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = [int(n) for n in re.findall(r"hashpartitioning\(i#\w+, g#\w+, dim#\w+, (\d+)\)", plan)]
+    assert counts and max(counts) <= most
+
+
+@pytest.mark.parametrize("blocks", [(4096, 1024), (5, 9), (7, 2)])
 def test_nearest_equals_brute_force(spark, vectors, blocks):
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1))
     got = ann.nearest(df.where("vec_id % 10 = 0"), df, k=7, query_block=blocks[0], row_block=blocks[1])
