@@ -16,9 +16,9 @@ exclusive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casebook.llm.common import saved
+from casebook.llm.common import free_name, saved
 
 # The base rules, in the order in which kinds are listed.
 # (kind, pattern, group to measure, characters it needs)
@@ -27,43 +27,48 @@ RULES = (
                r"([A-Za-z0-9+/_.=-]+)", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),  # the same as runs of any length, then the long ones
-    # Added by this operator: private key blocks.
-    ("key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,32}"
-            r"PRIVATE KEY-----", 0, 60),
+    # Added by this operator: private key blocks, also with header lines, and those of PGP.
+    ("key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY(?: BLOCK)?-----\s?\n?(?:[A-Za-z0-9-]{1,64}: [^\n]{0,256}\n)*"
+            r"[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,32}PRIVATE KEY(?: BLOCK)?-----", 0, 60),
 )
 BASE = ("assign", "access", "hex")
 #: Names the rules above; a change of rules needs a new name.
-VERSION = "1"
+VERSION = "2"
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _matches(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
-    """The matches of one rule as structs (start, kind, end)."""
+def _matches(text: Column, kind: int, pattern: str, group: int) -> Column:
+    """The matches of one rule as structs (kind, nth, gap before it, size, measured size)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     sizes = F.transform(found, F.length)
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     measured = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
     rows = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(sizes)).alias("gap"), sizes.alias("size"),
                         measured.alias("long"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
+    numbered = F.transform(rows, lambda x, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("nth"), x["gap"].alias("gap"), x["size"].alias("size"),
+        x["long"].alias("long")))
+    return F.when(text.rlike(pattern), numbered).otherwise(
+        F.array().cast("array<struct<kind:int,nth:int,gap:int,size:int,long:int>>"))
 
-    def add(state: Column, row: Column) -> Column:
-        begin = state["at"] + row["gap"]
-        end = begin + row["size"]
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(
-            row["long"] >= least, F.concat(state["spans"], F.array(span)))
-            .otherwise(state["spans"]).alias("spans"))
 
-    spans = F.aggregate(rows, start, add, lambda s: s["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPANS))
+def findings(blobs: DataFrame) -> DataFrame:
+    """(blob, spans) of (blob, content) with distinct blobs: matches of all rules by start, then kind.
 
-
-def findings(text: Column) -> Column:
-    """All matches of all rules, by start, then kind."""
-    return F.sort_array(F.concat(*(_matches(text, k, p, g, n)
-                                   for k, (_, p, g, n) in enumerate(RULES))))
+    A match is a row of its own until its place is known, as the running sum of
+    what lies before it, so a blob with very many matches is as much work as
+    they are.  Blobs are dealt by name already; nothing moves but sizes.
+    """
+    rows = blobs.select("blob", F.explode_outer(F.concat(*(
+        _matches(F.col("content"), k, p, g) for k, (_, p, g, _) in enumerate(RULES)))).alias("m")).select("blob", "m.*")
+    so_far = (Window.partitionBy("blob", "kind").orderBy("nth")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    least = F.element_at(F.array(*(F.lit(r[3]) for r in RULES)), F.col("kind") + 1)
+    placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far).cast("int"))
+    span = F.struct((F.col("end") - F.col("size")).alias("start"), "kind", "end")
+    return (placed.groupBy("blob").agg(F.sort_array(F.collect_list(F.when(F.col("long") >= least, span))).alias("spans"))
+            .withColumn("spans", F.col("spans").cast(SPANS)))
 
 
 def blob(text: Column) -> Column:
@@ -82,8 +87,7 @@ def scan(versions: DataFrame, content: str, ledger: DataFrame | None = None) ->
     if ledger is not None:
         seen = ledger.where(F.col("rules") == VERSION).select("blob").distinct()
         blobs = blobs.join(seen, "blob", "left_anti")
-    return blobs.dropDuplicates(["blob"]).select(
-        "blob", F.lit(VERSION).alias("rules"), findings(F.col("content")).alias("spans"))
+    return findings(blobs.dropDuplicates(["blob"])).select("blob", F.lit(VERSION).alias("rules"), "spans")
 
 
 def scan_paths(versions: DataFrame, content: str, ledger: DataFrame | None = None
@@ -99,13 +103,13 @@ def scan_paths(versions: DataFrame, content: str, ledger: DataFrame | None = Non
     if ledger is not None:
         old = ledger.where(F.col("rules") == VERSION).select(*fresh.columns)
         known = saved(fresh.unionByName(old).dropDuplicates(["blob"]), "known")
-    hits = known.where(F.size("spans") > 0).select(F.col("blob").alias("_hit"),
-                                                   F.col("spans").alias("_spans"))
+    own, hit, spans = (free_name(versions, n) for n in ("_blob", "_hit", "_spans"))
+    hits = known.where(F.size("spans") > 0).select(F.col("blob").alias(hit), F.col("spans").alias(spans))
     plain = [c for c in versions.columns if c not in (content, "spans")]
-    paths = versions.select(*(f"`{c}`" for c in plain), blob(F.col(content).cast("string")).alias("_blob"))
-    joined = paths.join(hits, F.col("_blob") == F.col("_hit"), "left")
+    paths = versions.select(*(f"`{c}`" for c in plain), blob(F.col(content).cast("string")).alias(own))
+    joined = paths.join(hits, F.col(own) == F.col(hit), "left")
     return joined.select(*(f"`{c}`" for c in plain), F.coalesce(
-        F.col("_spans"), F.array().cast(SPANS)).alias("spans")), fresh
+        F.col(spans), F.array().cast(SPANS)).alias("spans")), fresh
 
 
 def spelled(spans: Column) -> Column:

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -610,6 +611,32 @@ def test_private_keys_are_added_spans(spark):
     assert found.select(secrets.spelled(F.col("spans"))).first()[0] == f"key:2:{len(text) - 2}"
 
 
+def test_keys_with_header_lines_and_of_pgp_are_found(spark):
+    pem = ("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+           + "Ab1+/" * 20 + "\n-----END RSA PRIVATE KEY-----")
+    pgp = ("-----BEGIN PGP PRIVATE KEY BLOCK-----\r\nVersion: GnuPG v2\r\n\r\n" + "Ab1+/" * 20
+           + "\r\n=aB1/\r\n-----END PGP PRIVATE KEY BLOCK-----")
+    public = pgp.replace("PRIVATE", "PUBLIC")
+    data = [(1, f"a {pem} b"), (2, f"{pgp}\n{pgp}"), (3, public), (4, pem.replace("END", "end"))]
+    found, _ = secrets.scan_paths(spark.createDataFrame(data, "doc_id long, text string"), "text")
+    got = {r[0]: r[1] for r in found.select("doc_id", secrets.spelled(
+        secrets.of_kinds(F.col("spans"), "key"))).collect()}
+    n = len(pgp)
+    assert got == {1: f"key:2:{2 + len(pem)}", 2: f"key:0:{n},key:{n + 1}:{2 * n + 1}", 3: "", 4: ""}
+
+
+def test_very_many_matches_are_linear_and_own_columns_do_not_clash(spark):
+    text = "token=abcdef1 " * 60_000
+    df = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    clash = df.withColumns({c: F.lit("own") for c in ("_blob", "_hit", "_spans", "kind", "nth", "blob")})
+    began = time.perf_counter()
+    found, _ = secrets.scan_paths(clash, "text")
+    got = {r.doc_id: r for r in found.collect()}
+    assert time.perf_counter() - began < 60
+    assert [(s.start, s.end) for s in got[1].spans] == [(14 * i, 14 * i + 13) for i in range(60_000)]
+    assert got[2].spans == [] and got[1]._blob == got[1]._hit == got[1].nth == "own"
+
+
 # ------------------------------------------------------------------- empty tables
 
 
