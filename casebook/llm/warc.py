@@ -8,8 +8,10 @@ read without touching payloads, and original records come back by joining
 headers to payloads.
 
 Records are written as gzipped text files whose line separator is the blank
-line that ends a WARC record, and are read back file by file; the number of
-records per file is bounded.
+line that ends a WARC record.  Records are dealt to files by a hash of their id,
+as many files as the archive has ``FILE_BYTES``, so a file is about that long, or
+as its largest record.  Reading inflates a file piece by piece and holds one
+record at a time.
 
 Defined cases: NULL html counts as empty; payloads below ``min_bytes`` are
 always responses; of rows that repeat in id and payload the first is the
@@ -21,17 +23,19 @@ an empty archive.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from casebook.llm.common import joined_back
 
-#: Records of one file at most.
-FILE_RECORDS = 4000
+#: Bytes of the records of one file, before compression and on average.
+FILE_BYTES = 64 << 20
+#: Compressed bytes that one step of reading inflates.
+STEP = 1 << 16
 #: Capture time of records whose table has none.
 DATE = "1970-01-01T00:00:00Z"
 BREAK = "\r\n"
@@ -96,7 +100,7 @@ def headers(pages: DataFrame, min_bytes: int = 0, date: str = DATE) -> DataFrame
                        own_id.alias("record_id"), head.alias("header"))
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
+def write(pages: DataFrame, path: str, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
     """Write ``pages`` (page_id, url, html) as an archive under ``path``."""
     spark = pages.sparkSession
     headers(pages, min_bytes).write.parquet(f"{path}/headers")
@@ -105,30 +109,70 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     payloads = (pages.select(F.sha2(text.cast("binary"), 256).alias("sha256"),
                              F.octet_length(text).cast("bigint").alias("bytes"), text.alias("payload"))
                 .dropDuplicates(["sha256", "bytes"]))
-    full = index.where("record_type = 'response'").select("sha256", "bytes", "header")
+    full = index.where("record_type = 'response'").select("sha256", "bytes", "header", "record_id")
     records = payloads.join(full, ["sha256", "bytes"]).select(
-        F.concat("header", "payload").alias("value"))
-    records = records.union(index.where("record_type = 'revisit'").select("header"))
-    (records.write.option("lineSep", BREAK * 2).option("compression", "gzip")
-     .option("maxRecordsPerFile", FILE_RECORDS).text(f"{path}/warc"))
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
-    """(fields, header block, block) of every record of a file's bytes."""
-    at = 0
-    while at < len(data):
-        if not data.startswith(b"WARC/1.1\r\n", at):
-            raise ValueError(f"no record at byte {at}")
-        end = data.index(b"\r\n\r\n", at) + 4
+        F.concat("header", "payload").alias("value"), "record_id")
+    records = records.union(index.where("record_type = 'revisit'").select("header", "record_id"))
+    size = F.octet_length("header") + F.when(F.col("record_type") == "response", F.col("bytes")).otherwise(0)
+    total = index.agg(F.sum(size)).first()[0] or 0
+    (records.repartition(-(-total // file_bytes) or 1, "record_id").select("value")
+     .write.option("lineSep", BREAK * 2).option("compression", "gzip").text(f"{path}/warc"))
+
+
+def inflated(data: bytes) -> Iterator[bytes]:
+    """The content of gzip members that follow each other, piece by piece."""
+    left = memoryview(data)
+    while len(left):
+        member, at = zlib.decompressobj(wbits=31), 0
+        while at < len(left) and not member.eof:
+            piece = member.decompress(left[at:at + STEP])
+            at += STEP
+            if piece:
+                yield piece
+        if not member.eof:
+            raise ValueError("a file ends within a compressed record")
+        left = left[min(at, len(left)) - len(member.unused_data):]
+
+
+def parse(data: bytes | Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
+    """(fields, header block, block) of every record of a file's bytes, one at a time."""
+    pieces = iter([data] if isinstance(data, bytes) else data)
+    held, at = bytearray(), 0
+
+    def more() -> bool:
+        nonlocal held, at
+        piece = next(pieces, None)
+        if piece is None:
+            return False
+        if at > len(held) // 2:
+            del held[:at]
+            at = 0
+        held += piece
+        return True
+
+    nth = 0
+    while at < len(held) or more():
+        searched = at
+        while (end := held.find(b"\r\n\r\n", searched)) < 0:
+            back = max(0, len(held) - at - 3)
+            if not more():
+                raise ValueError(f"record {nth} has no end of its header")
+            searched = at + back
+        if not held.startswith(b"WARC/1.1\r\n", at):
+            raise ValueError(f"no record at record {nth}")
+        head = bytes(held[at:end + 4])
         fields = {}
-        for line in data[at:end - 4].decode().split(BREAK)[1:]:
+        for line in head[:-4].decode().split(BREAK)[1:]:
             name, _, value = line.partition(": ")
             fields[name] = value
-        stop = end + int(fields["Content-Length"])
-        if data[stop:stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} does not end where its length says")
-        yield fields, data[at:end], data[end:stop]
-        at = stop + 4
+        at, size = end + 4, int(fields["Content-Length"])
+        while len(held) - at < size + 4 and more():
+            pass
+        if held[at + size:at + size + 4] != b"\r\n\r\n":
+            raise ValueError(f"record {nth} does not end where its length says")
+        yield fields, head, bytes(held[at:at + size])
+        at += size + 4
+        nth += 1
 
 
 READ = ("page_id bigint, url string, record_type string, record_id string, refers_to_id string, "
@@ -152,7 +196,7 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 out, size = [], 0
-                for fields, head, block in parse(gzip.decompress(content.as_py())):
+                for fields, head, block in parse(inflated(content.as_py())):
                     http = block.index(b"\r\n\r\n") + 4
                     body = block[http:] if fields["WARC-Type"] == "response" else None
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")

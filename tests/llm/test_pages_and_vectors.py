@@ -352,8 +352,36 @@ def test_small_payloads_are_responses(spark, pages):
 
 
 def test_changed_payload_is_noticed(spark):
+    for bad in (b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabcd\r\n\r\n", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc",
+                b"WARC/1.1\r\nContent", b"HTTP/1.1 200 OK\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.parse(bad))
     with pytest.raises(ValueError):
-        list(warc.parse(b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabcd\r\n\r\n"))
+        list(warc.inflated(gzip.compress(b"x" * 1000)[:-9]))
+
+
+def test_records_are_read_piece_by_piece():
+    rng = random.Random(4)
+    records = [b"".join(rng.choice([b"\r\n", b"a", b"WARC/1.1"]) for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    data = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(r), r) for r in records)
+    for size in (1, 2, 3, 7, 50, len(data)):
+        pieces = [data[i:i + size] for i in range(0, len(data), size)]
+        assert [b for _, _, b in warc.parse(pieces)] == records
+    members = gzip.compress(data) + gzip.compress(data)
+    assert b"".join(warc.inflated(members)) == data + data
+    assert [b for _, _, b in warc.parse(warc.inflated(members))] == records * 2
+
+
+def test_files_are_bounded_by_bytes_and_a_large_page_comes_back(spark):
+    body = lambda i: "".join(map(chr, np.random.default_rng(i).integers(48, 120, 20_000)))
+    data = [(i, f"http://x/{i}", body(i)) for i in range(60)] + [(99, "http://x/99", "large page " * (6 << 20))]
+    path = scratch(spark, "archive")
+    warc.write(spark.createDataFrame(data, PAGES), path, file_bytes=100_000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{path}/warc")
+    sizes = [sum(map(len, warc.inflated(r.content))) for r in files.collect()]
+    assert len(sizes) > 12 and sorted(sizes)[-2] < 300_000
+    back = warc.restore(warc.read(spark, path))
+    assert rows(back, *FIELDS) == want(data)
 
 
 def test_archive_of_no_pages(spark):
