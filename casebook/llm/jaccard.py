@@ -15,8 +15,8 @@ components are split into blocks, and every pair of blocks is a task of its own.
 Shingles are runs of ``SHINGLE`` words, as 64-bit hashes; a shorter document is
 one shingle.  Defined cases: NULL text counts as empty; documents without words
 are copies of each other; rows that repeat are copies; NULL ids take part, and
-a class takes its name from its smallest id that is not NULL; an empty table
-gives an empty result.
+a class takes its name from its smallest id that is not NULL, or else a negative
+one from its first digest; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -108,14 +108,19 @@ def _digest(raw: bytes) -> bytes:
     return hashlib.blake2b(b" ".join(raw.split()), digest_size=16).digest()
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                       F.xxhash64(F.coalesce(text, F.lit(""))).alias("crc"), text.alias("text"))
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, signature) of every row."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
+    """(doc_id, crc, digest, signature) of every row; ``crc`` hashes the text as it is."""
+    rows = _rows(docs)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         digests, values = [], []
-        for _, _, buf, offsets in texts(batch.column(1)):
+        for _, _, buf, offsets in texts(batch.column(2)):
             starts, ends, bounds = words(buf, offsets)
             grams, doc = shingles(span_hashes(buf, starts, ends), bounds)
             n = len(offsets) - 1
@@ -123,10 +128,10 @@ def signed(docs: DataFrame) -> DataFrame:
             raw, at = buf.tobytes(), offsets.tolist()
             digests += [_digest(raw[at[i]:at[i + 1]]) for i in range(n)]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(digests, pa.binary()), pa.array(values, pa.binary())],
-            ["doc_id", "digest", "signature"])
+            [*batch.columns[:2], pa.array(digests, pa.binary()), pa.array(values, pa.binary())],
+            ["doc_id", "crc", "digest", "signature"])
 
-    return rows.mapInArrow(in_arrow(step), "doc_id bigint, digest binary, signature binary")
+    return rows.mapInArrow(in_arrow(step), "doc_id bigint, crc bigint, digest binary, signature binary")
 
 
 # -------------------------------------------------------------------- candidates
@@ -258,9 +263,13 @@ def linked(sets: list[np.ndarray], values: np.ndarray, side: np.ndarray, across:
 
     ``across``: only pairs with one text on either ``side`` belong to this task.
     """
-    alive = survivors(values, values, steps)
     if across:
-        alive &= side[:, None] != side[None, :]
+        a, b = (np.flatnonzero(side == x) for x in (side.min(), side.max()))
+        alive = np.zeros((len(side), len(side)), bool)
+        alive[np.ix_(a, b)] = survivors(values[a], values[b], steps)
+        alive |= alive.T
+    else:
+        alive = survivors(values, values, steps)
     np.fill_diagonal(alive, False)
     rows = np.flatnonzero(alive.any(1))
     out = np.zeros_like(alive)
@@ -290,10 +299,13 @@ def _verified(docs: DataFrame, known: DataFrame, parts: DataFrame, threshold: Fr
     sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     members = (joined_back(parts, sizes, "root").withColumnRenamed("node", "number")
                .join(known, "number"))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    members = (rows.join(members, rows["doc_id"].eqNullSafe(members["least_id"]))
-               .select("root", "size", "number", "digest", "signature", "copies", "text"))
+    # The hash of the text keeps rows of one id, or without any, apart; of rows
+    # that repeat in both one is sent on.
+    rows = _rows(docs)
+    members = (rows.join(members, (rows["crc"] == members["lead_crc"])
+                         & rows["doc_id"].eqNullSafe(members["least_id"]))
+               .select("root", "size", "number", "digest", "signature", "copies", "text")
+               .dropDuplicates(["number"]))
     steps = fewest_matches(float(threshold))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +316,7 @@ def _verified(docs: DataFrame, known: DataFrame, parts: DataFrame, threshold: Fr
             own = [_digest(t.encode()) == d for t, d in zip(text, group.column("digest").to_pylist())]
             take: dict[int, int] = {}
             for at, (x, ok) in enumerate(zip(number.tolist(), own)):
-                if ok:  # a row of another text with the same id is not this text
+                if ok:  # a row of another text with the same hash is not this text
                     take.setdefault(x, at)
             if len(take) < 2:
                 continue
@@ -339,9 +351,11 @@ def join(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     with class_id names the one document of the class that a filter keeps.
     """
     rows = saved(signed(docs), "signed")
-    known = (rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"),
-                                        F.min("doc_id").alias("least_id"),
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "crc"))
+    known = (rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), lead.alias("lead"),
                                         F.first("signature").alias("signature"))
+             .select("digest", "copies", F.col("lead.doc_id").alias("least_id"),
+                     F.col("lead.crc").alias("lead_crc"), "signature")
              .withColumn("number", F.monotonically_increasing_id()))
     known = saved(known, "texts")
     parts = saved(components(_candidates(known, float(threshold))), "parts")
@@ -358,7 +372,8 @@ def join(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     first = F.struct(F.col("least_id").isNull().alias("none"), "least_id", "digest")
     names = grouped.groupBy("root").agg(F.min(first).alias("first"))
     grouped = joined_back(grouped, names, "root").select(
-        "digest", F.coalesce("first.least_id", -F.col("root") - 1).alias("class_id"),
+        "digest", F.coalesce("first.least_id", F.shiftrightunsigned(F.xxhash64("first.digest"), 1)
+                             .bitwiseOR(F.lit(-1 << 63))).alias("class_id"),
         (F.col("docs") + F.col("copies") - 1).alias("n_links"),
         F.col("texts").alias("n_text_links"), F.col("copies").alias("n_copies"),
         F.col("first.digest").alias("keeper_digest"))

@@ -104,6 +104,23 @@ def test_jaccard_join_equals_all_pairs(docs, corpus):
     assert sorted(got, key=key) == sorted(classes(corpus), key=key)
 
 
+def test_rows_without_ids_are_joined_by_text(spark):
+    rng = random.Random(12)
+    base = [prose(rng, 40) for _ in range(60)]
+    near = [[*w[:-1], "changed"] for w in base]
+    data = [(None, " ".join(w)) for w in base + near] * 2 + [(7, " ".join(w)) for w in base[:20]]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    out = jaccard.join(df)
+    first = rows(out, "doc_id", "class_id", "n_links")
+    assert {(r.n_links, r.n_text_links, r.n_copies) for r in out.where("class_id < 0").collect()} == {(3, 1, 2)}
+    assert len({r[1] for r in first}) == 41 and first == rows(jaccard.join(df.repartition(5)), "doc_id", "class_id", "n_links")
+    joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin) \[([^\]]*)\]", jaccard._verified(
+        df, *[spark.createDataFrame([], s) for s in (
+            "digest binary, copies long, least_id long, lead_crc long, signature binary, number long",
+            "node long, root long")], Fraction(4, 5))._jdf.queryExecution().executedPlan().toString())
+    assert any("crc" in keys for keys in joins)
+
+
 def test_jaccard_blocks_do_not_change_the_result(docs, monkeypatch):
     whole = rows(jaccard.join(docs), "doc_id", "class_id", "n_links")
     monkeypatch.setattr(jaccard, "BUCKET_BLOCK", 8)
