@@ -31,7 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casebook.llm.common import free_name, in_arrow, joined_back, mix, span_hashes, texts, words
+from casebook.llm.common import (free_name, in_arrow, joined_back, mix, saved, span_hashes,
+                                 texts, words)
 
 #: A bound follows a line when the rolling hash is 0 modulo this.
 DIVISOR = 2
@@ -39,6 +40,8 @@ DIVISOR = 2
 WINDOW = 2
 #: Words from which one line makes a chunk of its own.
 LONG_LINE = 50
+#: Share of a document's bytes that must be left of it when passages went.
+LEAST_LEFT = 0.2
 #: Lines with words that any other chunk needs.
 MIN_LINES = 2
 
@@ -140,10 +143,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     Spark's partial aggregation leaves one row per chunk and task before the
     shuffle, however often a chunk repeats.
     """
-    keepers = (_occurrences(docs).groupBy("digest")
+    found = saved(_occurrences(docs), "chunks")
+    keepers = (found.groupBy("digest")
                .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "crc")).alias("keeper"))
                .where("n > 1").select("digest", "keeper"))
-    places = joined_back(_occurrences(docs), keepers, "digest")
+    places = joined_back(found, keepers, "digest")
     stays = (F.col("leads") & F.col("id").eqNullSafe(F.col("keeper.id"))
              & (F.col("crc") == F.col("keeper.crc")))
     return (places.where(~stays).groupBy("id", "crc")
@@ -218,12 +222,17 @@ def dedup(docs: DataFrame, join_runs: bool = False) -> DataFrame:
 def deduped(docs: DataFrame) -> DataFrame:
     """``docs`` after dedup with ``n_chars`` renewed; documents left without text go.
 
-    A document that had no text to begin with stays as it was.
+    So do those that keep less than ``LEAST_LEFT`` of their bytes: all but a
+    shred of them stands in documents before, so they are near copies of these,
+    and a later stage could no longer see that.  A document that had no text to
+    begin with stays as it was.
     """
     plain = [c if c.lower() in ("text", "doc_id") else f"_c{i}" for i, c in enumerate(docs.columns)]
     size = next((p for p, c in zip(plain, docs.columns) if c.lower() == "n_chars"), None)
-    out = dedup(docs.toDF(*plain))
-    out = out.where((F.size("removed") == 0) | (F.length("text") > 0))
+    out = dedup(docs.toDF(*plain), join_runs=True)
+    gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["begin"] + 1)
+    kept = F.octet_length("text")
+    out = out.where((F.size("removed") == 0) | ((kept > 0) & (kept >= LEAST_LEFT * (kept + gone))))
     if size:
         kind = out.schema[size].dataType
         out = out.withColumn(size, F.when(F.size("removed") == 0, F.col(size))
