@@ -1,5 +1,6 @@
 """Streaming allocation equals the batch report on the same transactions."""
 
+import datetime as dt
 import os
 import tempfile
 
@@ -72,3 +73,49 @@ def test_session_windows_match_batch_visits(spark):
              .select(F.split("visit_id", "-")[0].cast("long").alias("u"), "s", "n", "v", "c", "p"))
     assert rows(streamed, "user_id", "visit_start", "events", "page_views", "cart_adds",
                 "purchase") == rows(batch, "u", "s", "n", "v", "c", "p")
+
+
+def _corrections(spark, arrivals, schema, lateness_days, name):
+    """The rows that a stream of ``arrivals``, one micro-batch each, sends."""
+    from casebook.streaming import STATE_STORE, corrected_balance_stream
+    old = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)
+    inbox = tempfile.mkdtemp(prefix="casebook-late-in-")
+    stream = spark.readStream.schema(schema).parquet(inbox)
+    q = (corrected_balance_stream(stream, lateness_days).writeStream.format("memory").queryName(name)
+         .outputMode("update").option("checkpointLocation", tempfile.mkdtemp(prefix="casebook-late-ck-")).start())
+    try:
+        for df in arrivals:
+            df.coalesce(1).write.mode("append").parquet(inbox)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+        if old is None:
+            spark.conf.unset(STATE_STORE[0])
+        else:
+            spark.conf.set(STATE_STORE[0], old)
+    return spark.table(name)
+
+
+def test_shuffled_arrival_matches_batch(spark):
+    """Rows of any day in any micro-batch: the last versions are the batch result."""
+    from casebook.streaming import latest
+    t = bind(spark, SF)
+    tx = t.customer_transactions
+    part = F.pmod(F.xxhash64("customer_id", "txn_date", "txn_amount"), F.lit(3))
+    sent = _corrections(spark, [tx.where(part == k) for k in range(3)], tx.schema, 4000, "shuffled")
+    assert sent.count() > latest(sent).count()  # some days were corrected
+    assert rows(monthly_allocation(allocation_rows(latest(sent)))) == rows(bank.alloc_running(t))
+
+
+def test_closed_days_are_folded_and_too_late_rows_dropped(spark):
+    schema = "customer_id int, txn_date date, txn_type string, txn_amount int"
+    day = lambda d, amount: (1, dt.date(2020, 1, d), "deposit", amount)
+    arrivals = [[day(1, 5), day(2, 7)], [day(20, 1)], [day(19, 2)], [day(2, 1000)], [day(21, 4)]]
+    sent = _corrections(spark, [spark.createDataFrame(a, schema) for a in arrivals],
+                        spark.createDataFrame([], schema).schema, 3, "closed")
+    from casebook.streaming import latest
+    got = {r.txn_date.day: (r.n_rows, r.running_cents) for r in latest(sent).collect()}
+    assert got == {1: (1, 500), 2: (1, 1200), 19: (1, 1400), 20: (1, 1500), 21: (1, 1900)}
+    again = [r.txn_date.day for r in sent.where("version > 3").collect()]
+    assert set(again) <= {19, 20, 21}  # the folded days were not sent again
