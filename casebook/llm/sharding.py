@@ -13,8 +13,9 @@ documents overflow.
 
 Who goes where is decided on document counts per cell, at most ``CELLS``
 numbers, which is all the driver sees.  Documents then need only their rank in
-their cell, which is a window over one cell; rows that repeat are counted
-before that and dealt out again afterwards.
+their cell.  It is counted in ``BUCKETS`` buckets of a cell, so that no task sees
+a cell that holds very many documents, such as all those without an id; rows that
+repeat are counted before that and dealt out again afterwards.
 
 Defined cases: NULL text has no bytes and the checksum of an empty text; NULL
 ids share one cell and are told apart by size and checksum; an empty table
@@ -33,6 +34,8 @@ from casebook.llm.common import saved
 SHARDS = 8
 VNODES = 128
 CELLS = 1 << 14
+#: Buckets in which the documents of one cell are ranked.
+BUCKETS = 512
 
 
 def ring(shards: int, vnodes: int = VNODES, cells: int = CELLS) -> list[tuple[int, int]]:
@@ -110,9 +113,16 @@ def shard(docs: DataFrame, shards: int = SHARDS, slack: float = 0.0, vnodes: int
     deal = spark.createDataFrame(
         deal, "_cell bigint, _lo bigint, _hi bigint, shard int, _base bigint")
     row = ["point", "doc_id", "size", "text_crc32"]
-    before = Window.partitionBy("cell").orderBy(*row).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (slim.groupBy("cell", *row).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    bucket = F.pmod(F.xxhash64(*row), F.lit(BUCKETS))
+    counted = slim.withColumn("bucket", bucket)
+    sizes = counted.groupBy("cell", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    of_cell = Window.partitionBy("cell").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("cell", "bucket", F.coalesce(F.sum("n").over(of_cell), F.lit(0)).alias("before"))
+    of_bucket = (Window.partitionBy("cell", "bucket").orderBy(*row)
+                 .rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (counted.groupBy("cell", "bucket", *row).agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("start", F.coalesce(F.sum("n").over(of_bucket), F.lit(0)))
+              .join(sizes, ["cell", "bucket"]).withColumn("start", F.col("start") + F.col("before")))
     end = F.col("start") + F.col("n")
     # The deal has a row per cell, and one more per place that a shard fills up at.
     met = ranked.join(F.broadcast(deal), (F.col("cell") == F.col("_cell"))

@@ -560,6 +560,21 @@ def test_ring_equals_a_walk_per_document(slack):
         assert got == walk(loads, places, room)
 
 
+def test_each_shard_gets_the_documents_of_its_cells(spark, docs, corpus):
+    """Which documents go where, against the walk, with a cell that holds a third of all."""
+    hot = [(None, f"text {i}", None, None, None) for i in range(40)]
+    df = docs.unionByName(spark.createDataFrame(hot, DOCS))
+    cell = lambda i: int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], 16) // ((1 << 60) // 64)
+    loads = Counter(cell(i) for i, *_ in corpus + hot)
+    for shards, slack in ((8, 0.0), (5, 0.3)):
+        out = sharding.shard(df, shards=shards, slack=slack, vnodes=8, cells=64).collect()
+        places, room = sharding.ring(shards, 8, 64), sharding.capacities(sum(loads.values()), shards, slack)
+        want = Counter((c, s) for (c, _), s in walk(loads, places, room).items())
+        assert Counter((cell(r.doc_id), r.shard) for r in out) == want
+        assert sorted((r.shard, r.slot) for r in out) == sorted(
+            (s, k) for s, n in Counter(r.shard for r in out).items() for k in range(n))
+
+
 def test_another_shard_moves_few():
     rng = random.Random(5)
     loads = Counter(rng.randrange(sharding.CELLS) for _ in range(40000))
