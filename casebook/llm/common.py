@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casebook.session import checkpoint_dir
 
-#: Bytes of text that one numpy step handles; a longer document is one step.
+#: Bytes of text that one numpy step handles; longer documents take several where it matters.
 STEP_BYTES = 1 << 20
 
 # --------------------------------------------------------------------- storage
@@ -129,22 +129,20 @@ _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _CODES = np.random.Generator(np.random.PCG64(20240229)).integers(
     1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: list[np.ndarray] = []
+_FULL = (1 << 64) - 1
 
 #: The white space that separates words: space and \t \n \v \f \r.
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def _power(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse, for ``n`` positions."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, STEP_BYTES + 1)
-        fresh = []
+def _power() -> list[np.ndarray]:
+    """Powers of the base and of its inverse, for the positions of one step."""
+    if not _powers:
         for base in (_BASE, _UNBASE):
-            p = np.full(size, base, np.uint64)
+            p = np.full(STEP_BYTES + 1, base, np.uint64)
             p[0] = 1
-            fresh.append(np.multiply.accumulate(p))
-        _powers[:] = fresh
+            _powers.append(np.multiply.accumulate(p))
     return _powers
 
 
@@ -156,18 +154,40 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; equal bytes, equal hash."""
-    up, down = _power(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_CODES[buf] * up[:len(buf)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]
-               + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of the bytes of each span; equal bytes, equal hash.
+
+    Running sums are taken step by step and kept only where a span begins or
+    ends, so a text of any length needs memory for its spans and one step.
+    """
+    up, down = _power()
+    if len(buf) <= STEP_BYTES:
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(_CODES[buf] * up[:len(buf)], out=total[1:])
+        sums = (total[ends] - total[starts]) * down[starts]
+    else:
+        places = np.unique(np.concatenate((starts, ends)))
+        at = np.empty(len(places), np.uint64)
+        back = np.empty(len(places), np.uint64)
+        before = np.uint64(0)
+        for lo in range(0, len(buf) + 1, STEP_BYTES):
+            step = buf[lo:lo + STEP_BYTES]
+            total = np.zeros(len(step) + 1, np.uint64)
+            scale, unscale = (np.uint64(pow(int(b), lo, _FULL + 1)) for b in (_BASE, _UNBASE))
+            np.cumsum(_CODES[step] * up[:len(step)], out=total[1:])
+            total = total * scale + before
+            a, b = np.searchsorted(places, (lo, lo + STEP_BYTES))
+            at[a:b] = total[places[a:b] - lo]
+            back[a:b] = down[places[a:b] - lo] * unscale
+            before = total[-1]
+        i, j = np.searchsorted(places, starts), np.searchsorted(places, ends)
+        sums = (at[j] - at[i]) * back[i]
+    return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, bounds) of the words; document i has words bounds[i]:bounds[i+1]."""
     n = len(buf)
-    solid = ~_SPACE[buf]
+    solid = ~SPACE[buf]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     before = np.empty(n, bool)

@@ -11,10 +11,11 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.llm import jaccard, linededup, mixing, packing, quality, queries, secrets, sharding
+from casebook.llm import common, jaccard, linededup, mixing, packing, quality, queries, secrets, sharding
 from casebook.llm.components import components
 from tests.conftest import rows
 
@@ -68,6 +69,47 @@ def split(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+# --------------------------------------------------------------- very long texts
+
+
+def test_span_hashes_do_not_depend_on_steps(monkeypatch):
+    rng = np.random.default_rng(1)
+    buf = rng.integers(97, 100, 5000).astype(np.uint8)
+    starts = rng.integers(0, 4900, 800)
+    ends = np.minimum(starts + rng.integers(0, 3000, 800), 5000)
+    whole = common.span_hashes(buf, starts, ends)
+    assert len(set(whole.tolist())) == len({buf[a:b].tobytes() for a, b in zip(starts, ends)})
+    for step in (4999, 1000, 7):
+        monkeypatch.setattr(common, "STEP_BYTES", step)
+        monkeypatch.setattr(common, "_powers", [])
+        assert (common.span_hashes(buf, starts, ends) == whole).all()
+
+
+def test_operators_on_long_texts_do_not_depend_on_steps(spark, corpus, monkeypatch):
+    """The measures, shingles and chunks of texts longer than a step."""
+    long = pa.array([t for _, t, *_ in corpus if t and len(t) > 2000])
+
+    def results():
+        out = []
+        for _, _, buf, offsets in common.texts(long, 1 << 20):
+            starts, ends, bounds = common.words(buf, offsets)
+            hashes = common.span_hashes(buf, starts, ends)
+            measured = quality.measure(buf, offsets, hashes, starts, ends, bounds)
+            out += [v.tolist() for v in measured.values()] + [x.tolist() for x in linededup.chunks(buf, offsets)]
+            out += [x.tolist() for x in jaccard.shingles(hashes, bounds)]
+        one = np.frombuffer(long[0].as_py().encode(), np.uint8)
+        count = np.zeros(999, np.int64)
+        for bucket, _ in quality.gram_steps(one, np.array([0, len(one)]), 999):
+            count += np.bincount(bucket, minlength=999)
+        return out + [count.tolist()]
+
+    whole = results()
+    monkeypatch.setattr(common, "STEP_BYTES", 1000)
+    monkeypatch.setattr(common, "_powers", [])
+    monkeypatch.setattr(quality, "STEP_BYTES", 1000)
+    assert results() == whole
+
+
 # ----------------------------------------------------------------- near copies
 
 
