@@ -8,10 +8,10 @@ read without touching payloads, and original records come back by joining
 headers to payloads.
 
 Records are written as gzipped text files whose line separator is the blank
-line that ends a WARC record.  Records are dealt to files by a hash of their id,
-as many files as the archive has ``FILE_BYTES``, so a file is about that long, or
-as its largest record.  Reading inflates a file piece by piece and holds one
-record at a time.
+line that ends a WARC record.  Records are dealt to files by a hash of their
+payload, to as many files at least as the archive has ``FILE_BYTES``, so a file is
+about that long at most, or as its largest record.  Reading inflates a file piece
+by piece and holds one record at a time.
 
 Defined cases: NULL html counts as empty; payloads below ``min_bytes`` are
 always responses; of rows that repeat in id and payload the first is the
@@ -26,6 +26,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -100,6 +101,22 @@ def headers(pages: DataFrame, min_bytes: int = 0, date: str = DATE) -> DataFrame
                        own_id.alias("record_id"), head.alias("header"))
 
 
+@contextmanager
+def _partitions(spark: SparkSession, least: int) -> Iterator[None]:
+    """Shuffles of so many partitions at least, none of which Spark merges."""
+    count = "spark.sql.shuffle.partitions"
+    settings = {count: str(max(least, int(spark.conf.get(count)))) if least > 1 else spark.conf.get(count),
+                "spark.sql.adaptive.coalescePartitions.enabled": "false" if least > 1 else "true"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def write(pages: DataFrame, path: str, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
     """Write ``pages`` (page_id, url, html) as an archive under ``path``."""
     spark = pages.sparkSession
@@ -109,14 +126,13 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, file_bytes: int = FIL
     payloads = (pages.select(F.sha2(text.cast("binary"), 256).alias("sha256"),
                              F.octet_length(text).cast("bigint").alias("bytes"), text.alias("payload"))
                 .dropDuplicates(["sha256", "bytes"]))
-    full = index.where("record_type = 'response'").select("sha256", "bytes", "header", "record_id")
-    records = payloads.join(full, ["sha256", "bytes"]).select(
-        F.concat("header", "payload").alias("value"), "record_id")
-    records = records.union(index.where("record_type = 'revisit'").select("header", "record_id"))
+    full = index.where("record_type = 'response'").select("sha256", "bytes", "header")
+    records = payloads.join(full, ["sha256", "bytes"]).select(F.concat("header", "payload").alias("value"))
+    records = records.union(index.where("record_type = 'revisit'").select("header"))
     size = F.octet_length("header") + F.when(F.col("record_type") == "response", F.col("bytes")).otherwise(0)
     total = index.agg(F.sum(size)).first()[0] or 0
-    (records.repartition(-(-total // file_bytes) or 1, "record_id").select("value")
-     .write.option("lineSep", BREAK * 2).option("compression", "gzip").text(f"{path}/warc"))
+    with _partitions(spark, -(-total // file_bytes)):
+        (records.write.option("lineSep", BREAK * 2).option("compression", "gzip").text(f"{path}/warc"))
 
 
 def inflated(data: bytes) -> Iterator[bytes]:
