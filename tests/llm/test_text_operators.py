@@ -349,6 +349,19 @@ def test_quality_measures(docs, corpus, spark):
     assert not [r for r in got.collect() if r.kept and r.base_failed]
 
 
+def grams(text, buckets):
+    """The buckets of a text's byte trigrams, one by one."""
+    full, out, raw = (1 << 64) - 1, [], text.encode()
+    for i in range(len(raw) - 2):
+        h = 0
+        for b in raw[i:i + 3]:
+            h = (h * 0xFF51AFD7ED558CCD + b) & full
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ h >> shift) * factor & full
+        out.append((h ^ h >> 31) % buckets)
+    return out
+
+
 def test_quality_scores_equal_plain_counts(spark):
     rng = random.Random(2)
     good = [" ".join(prose(rng, 40, "g")) for _ in range(20)]
@@ -359,23 +372,24 @@ def test_quality_scores_equal_plain_counts(spark):
                                    "doc_id long, quality int, toxic int")
     model = quality.fit(docs, quality.trusted_ids(labels), 64)
 
-    def grams(text):
-        raw = text.encode()
-        return quality.grams(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 64)[0].tolist()
-
     raw, target = Counter(), Counter()
     for i, t, *_ in data:
-        raw.update(grams(t))
+        raw.update(grams(t, 64))
         if i < 10:
-            target.update(grams(t))
+            target.update(grams(t, 64))
     for b in range(64):
         p = (target[b] + 1) / (sum(target.values()) + 64)
         q = (raw[b] + 1) / (sum(raw.values()) + 64)
         assert abs(model[b] - math.log(p / q)) < 1e-5
-    for r in quality.judge(docs, model).collect():
-        g = grams(r.text)
-        assert abs(r.score - sum(model[b] for b in g) / (len(g) + quality.PRIOR_GRAMS)) < 1e-5
-        assert r.kept == (not r.base_failed and r.score >= quality.THRESHOLD)
+    scores = {}
+    for r in quality.judge(docs, model, 0.1).collect():
+        g = grams(r.text, 64)
+        scores[r.doc_id] = sum(model[b] for b in g) / (len(g) + quality.PRIOR_GRAMS)
+        assert abs(r.score - scores[r.doc_id]) < 1e-5
+        assert r.kept == (not r.base_failed and r.score >= 0.1)
+    least = np.quantile([scores[i] for i in range(10)], 0.01)
+    assert abs(quality.threshold_of(docs, quality.trusted_ids(labels), model) - least + math.log(2)) < 1e-5
+    assert quality.threshold_of(docs, quality.trusted_ids(labels.where("doc_id > 20")), model) == -math.log(2)
 
 
 def test_quality_on_given_labels(spark):
