@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,18 +19,39 @@ STEP_BYTES = 1 << 20
 # --------------------------------------------------------------------- storage
 
 
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder of the session."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/corpus/{uuid.uuid4().hex}/{name}"
+    """A new folder under that of the scope, or else under the session's shared checkpoint folder."""
+    top = _scope.get() or f"{checkpoint_dir(spark).rstrip('/')}/corpus"
+    return f"{top}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What operators store meanwhile is removed at the end.
+
+    Operators return plans over the tables that they stored, so a result must
+    be written, to a folder from outside, before the scope ends.
+    """
+    folder = scratch(spark, "scope")
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to shared storage and read it back.
+def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to shared storage, a new folder if none is named, and read it back.
 
     Later stages then read files instead of recomputing, and a lost executor
     costs no more than the tasks it was running.
     """
-    path = scratch(df.sparkSession, name)
+    path = path or scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against plain Python on each stage's own input."""
 
 import hashlib
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +10,8 @@ import pytest
 
 import corpus_pipeline
 from casebook.llm import linededup, mixing, quality
-from casebook.llm.common import saved
+from casebook.llm.common import saved, scope, scratch
+from casebook.session import checkpoint_dir
 from tests.llm.test_text_operators import base, classes, grams, ids_of, kept_lines, split
 
 SF = "/root/testdata/sf0.001"
@@ -116,8 +118,23 @@ def test_packing_stage_and_run(spark, stages):
     for r in rows:
         fill[r.sequence_id] += r.length
     assert max(fill.values()) <= 1024
+    top = f"{checkpoint_dir(spark)}/corpus"
+    before = set(os.listdir(top))
     again = corpus_pipeline.run(spark, SF)
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, rows))
+    left = [os.listdir(f"{top}/{d}") for d in set(os.listdir(top)) - before]
+    assert sorted(x for names in left for x in names) == sorted(n for n, _ in corpus_pipeline.STAGES)
+
+
+def test_a_scope_removes_what_was_stored_in_it(spark):
+    path = scratch(spark, "kept")
+    with pytest.raises(ValueError), scope(spark):
+        inner = saved(spark.range(3), "inner")
+        saved(inner, "kept", path)
+        files = inner.inputFiles()
+        raise ValueError
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_of_near_copies_in_lines_one_stays_whole(spark):
