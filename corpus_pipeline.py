@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.llm import jaccard, linededup, mixing, packing, quality
-from casebook.llm.common import saved
+from casebook.llm.common import saved, scope, scratch
 from casebook.llm.queries import tokenizer
 
 
@@ -52,8 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
+    """All stages over the whole of ``documents``.
+
+    What a stage stored on its way goes when its result is written.
+    """
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        path = scratch(spark, name)
+        with scope(spark):
+            docs = saved(stage(spark, docs, sf_dir), name, path)
     return docs
