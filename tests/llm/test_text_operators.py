@@ -207,15 +207,58 @@ def test_components(spark):
 # -------------------------------------------------------------------- line dedup
 
 
+FULL = (1 << 64) - 1
+
+
+def finished(h):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ h >> shift) * factor & FULL
+    return h ^ h >> 31
+
+
+def line_hash(raw):
+    """The hash of a line's bytes, byte by byte."""
+    h, power = 0, 1
+    for byte in raw:
+        h += int(common._CODES[byte]) * power
+        power = power * int(common._BASE) & FULL
+    return finished(h + len(raw) * 0xD6E8FEB86659FD93 & FULL)
+
+
+def chunks_of(text):
+    """(begin, end) of the chunks that take part, line by line, by place."""
+    lines, at = [], 0
+    for raw in (text or "").encode().split(b"\n"):
+        lines.append((at, at + len(raw), len(split(raw.decode())), line_hash(raw)))
+        at += len(raw) + 1
+    n = len(lines)
+    runs, head = set(), 0
+    worded = lambda i, j: sum(1 for x in lines[i:j + 1] if x[2])
+    total = lambda i, j: sum(x[2] for x in lines[i:j + 1])
+    for i in range(n):
+        h = lines[i][3] if not i else (lines[i][3] * 0xFF51AFD7ED558CCD + lines[i - 1][3]) & FULL
+        alone = lines[i][2] >= 50 or i + 1 < n and lines[i + 1][2] >= 50
+        if i == n - 1 or alone or finished(h) % 2 == 0:
+            if worded(head, i) >= 2 or lines[head][2] >= 50:
+                runs.add((head, i))
+            head = i + 1
+    for i in range(n):
+        if lines[i][2]:
+            on = next((j for j in range(i, n) if total(i, j) >= 50), None)
+            back = next((j for j in range(i, -1, -1) if total(j, i) >= 50), None)
+            runs |= {(i, on)} if on is not None else set()
+            runs |= {(back, i)} if back is not None else set()
+    if worded(0, n - 1) >= 2 or total(0, n - 1) >= 50:
+        runs.add((0, n - 1))
+    return [(lines[i][0], lines[j][1]) for i, j in sorted(runs)]
+
+
 def kept_lines(data):
     """Texts after removal, with chunks cut and compared in plain Python."""
     cut = []
-    for i, (doc_id, text, *_) in enumerate(data):
+    for doc_id, text, *_ in data:
         raw = (text or "").encode()
-        buf, off = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-        _, begin, end, _, _ = linededup.chunks(buf, off)
-        crc = [(doc_id is not None, doc_id or 0)]
-        cut.append([(raw[b:e], b, e) for b, e in zip(begin.tolist(), end.tolist())])
+        cut.append([(raw[b:e], b, e) for b, e in chunks_of(text)])
     where = defaultdict(list)
     for i, chunks in enumerate(cut):
         for k, (c, _, _) in enumerate(chunks):
