@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def membership_flag(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
@@ -50,12 +50,12 @@ def interval_join(facts: DataFrame, ts_col: str, dim: DataFrame, start_col: str,
     Long, open and overlapping intervals cost little: an interval is cut into
     the dyadic blocks of its days, O(log days) rows, and a fact meets the one
     block of each level that holds its day.  Levels that no interval uses are
-    left out.  The meeting is an equi-join on (level, block) of the facts' keys
-    and times alone, followed by the exact range test; its matches come back to
-    the facts by ``key``, which is unique among them and not NULL.  The days
-    outside the facts' own span are cut off first, which bounds the levels.
+    left out.  The meeting is an equi-join on (level, block), with the exact
+    range test as its condition.  One more row of each fact, at a level of its
+    own, meets nothing and stays if no other did; that is seen by ``key``, which
+    is unique among the facts and not NULL.  Days outside the facts' own span are
+    cut off first, which bounds the levels.
     """
-    key = list(key)
     span = facts.agg(F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
     own = [c for c in dim.columns if c not in (start_col, end_col)]
@@ -63,15 +63,18 @@ def interval_join(facts: DataFrame, ts_col: str, dim: DataFrame, start_col: str,
     nodes = (dim.select(F.col(start_col).alias("_start"), F.col(end_col).alias("_end"), *own,
                         F.unix_date(first).alias("_from"), F.unix_date(last).alias("_to"))
              .withColumn("_at", F.explode(dyadic_nodes(F.col("_from"), F.col("_to"))))
-             .select("_start", "_end", *own, "_at.level", "_at.node")
-             .withColumnsRenamed({"level": "_level", "node": "_node"}))
-    used = nodes.agg(F.collect_set("_level")).scalar()
-    times = (facts.select(*key, F.col(ts_col).alias("_ts")).where(F.col("_ts").isNotNull())
-             .withColumn("_level", F.explode(used))
-             .withColumn("_node", F.call_function("shiftright", F.unix_date(F.to_date("_ts")), F.col("_level"))))
-    hits = (times.join(nodes, ["_level", "_node"]).where(F.col("_ts").between(F.col("_start"), F.col("_end")))
-            .select(*key, *own))
-    return facts.join(hits, key, "left")
+             .select("_start", "_end", *own, F.col("_at.level").alias("_at_level"),
+                     F.col("_at.node").alias("_at_node"), F.lit(True).alias("_hit")))
+    used = nodes.agg(F.collect_set("_at_level")).scalar()
+    each = (facts.withColumn("_level", F.explode(F.concat(F.array(F.lit(-1)), used)))
+            .withColumn("_node", F.call_function("shiftright", F.unix_date(F.to_date(ts_col)),
+                                                 F.greatest("_level", F.lit(0)))))
+    met = each.join(nodes, (F.col("_level") == F.col("_at_level")) & (F.col("_node") == F.col("_at_node"))
+                    & F.col(ts_col).between(F.col("_start"), F.col("_end")), "left")
+    any_hit = F.max("_hit").over(Window.partitionBy(*key))
+    kept = (met.where(F.col("_hit") | (F.col("_level") < 0)).withColumn("_any", any_hit)
+            .where(F.col("_hit") | F.col("_any").isNull()))
+    return kept.select(*facts.columns, *own)
 
 
 def not_in_values(df: DataFrame, col: str, values: DataFrame, vcol: str) -> DataFrame:

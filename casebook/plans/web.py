@@ -293,7 +293,8 @@ def visit_campaigns(t, campaigns: str = "campaign_identifier") -> DataFrame:
                F.max(_flag(_is(PURCHASE))).alias("purchase"),
                F.count(F.when(_is(IMPRESSION), 1)).alias("impression"),
                F.count(F.when(_is(CLICK), 1)).alias("click")))
-    vs = join_back(vs, carts, ["user_id", "visit_id"])
     camp = getattr(t, campaigns).select("campaign_name", "start_date", "end_date")
-    return interval_join(vs, "visit_start_time", camp, "start_date", "end_date",
-                         ["user_id", "visit_id"]).orderBy("user_id")
+    key = ["user_id", "visit_id"]
+    found = interval_join(vs, "visit_start_time", camp, "start_date", "end_date", key)
+    return (join_back(found, carts, key).select(*vs.columns, "cart_products", "campaign_name")
+            .orderBy("user_id"))
