@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_list(capsys):
     assert main(["list"]) == 0
     keys = capsys.readouterr().out.split()
-    assert len(keys) == 76 and "web_product_funnel" in keys
+    assert len(keys) == 83 and "web_product_funnel" in keys
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")

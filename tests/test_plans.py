@@ -105,7 +105,7 @@ def test_ordered_strings_are_built_from_cart_adds_alone(spark, large_tables):
     p = QUERIES["web_visit_campaigns"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for line in p.splitlines():
         if "ObjectHashAggregate" in line or "SortAggregate" in line:
-            assert ("listagg" in line or "collect_set(_level" in line) and "count(" not in line, line
+            assert ("listagg" in line or "collect_set(_at_level" in line) and "count(" not in line, line
 
 
 @pytest.mark.parametrize("key", ["bank_node_count", "bank_customers_per_region",
