@@ -24,10 +24,10 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import sentencepiece
 from pyspark.sql import DataFrame
 
 from casebook.llm import tokens
@@ -104,20 +104,14 @@ def model(ranks: dict[bytes, int]) -> bytes:
 
 
 class Codec(tokens.Encoder):
-    """Ids of texts by the ranks in ``path``, and bytes of ids."""
+    """Ids of texts by the ranks in ``path``."""
 
     def __init__(self, path: str):
+        import sentencepiece
         ranks = read_ranks(path)
         self.whole = {token: rank for token, rank in ranks.items() if len(token) > 1}
         processor = sentencepiece.SentencePieceProcessor(model_proto=model(ranks))
         self.merges = lambda pieces: processor.encode(pieces, num_threads=1)
-        size = processor.get_piece_size()
-        back = tokens.byte_characters()
-        token = [bytes(back.get(c, 0) for c in processor.id_to_piece(i)) if not
-                 (processor.is_unused(i) or processor.is_unknown(i)) else b"" for i in range(size)]
-        self.size_of = np.fromiter(map(len, token), np.int64, size)
-        self.start_of = np.cumsum(self.size_of) - self.size_of
-        self.bytes_of = np.frombuffer(b"".join(token), np.uint8)
         self.special: dict[str, int] = {}
         self._forget()
 
@@ -130,6 +124,22 @@ class Codec(tokens.Encoder):
             out[i] = ids
         return out
 
+
+class Decoder:
+    """Bytes of ids by the ranks in ``path``: each piece's characters, mapped back.
+
+    It holds the pieces' bytes alone, since the workers that decode are others
+    than those that encode.
+    """
+
+    def __init__(self, path: str):
+        back = tokens.byte_characters()
+        pieces = {rank: spelled(token) for token, rank in read_ranks(path).items()}
+        token = [bytes(map(back.__getitem__, pieces.get(i, ""))) for i in range(max(pieces, default=-1) + 1)]
+        self.size_of = np.fromiter(map(len, token), np.int64, len(token))
+        self.start_of = np.cumsum(self.size_of) - self.size_of
+        self.bytes_of = np.frombuffer(b"".join(token), np.uint8)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of a run of ids."""
         size = self.size_of[ids]
@@ -138,14 +148,16 @@ class Codec(tokens.Encoder):
                              + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
 
-_codecs: dict[str, Codec] = {}
+@lru_cache(maxsize=2)
+def codec(path: str) -> Codec:
+    """The encoder of this worker process for ``path``."""
+    return Codec(path)
 
 
-def codec(path: str) -> Codec:
-    """The codec of this worker process for ``path``."""
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    """The decoder of this worker process for ``path``."""
+    return Decoder(path)
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -161,7 +173,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     for batch in batches:
         held, size, lo = [], 0, 0
         for row, ids in enumerate(batch.column("ids")):
-            held.append(codec(path).decode(np.frombuffer(ids.as_py() or b"", "<u4")))
+            held.append(decoder(path).decode(np.frombuffer(ids.as_py() or b"", "<u4")))
             size += len(held[-1])
             if size >= OUT_BYTES or row == batch.num_rows - 1:
                 cut = batch.slice(lo, len(held))
