@@ -1,7 +1,7 @@
 """Quality rules: word statistics, then a hashed n-gram likelihood ratio.
 
 Two multinomials over hashed byte n-grams are compared: one counted on trusted
-target documents, one on the whole raw corpus.  A document's score is the sum,
+target documents, all of them, and one on the whole raw corpus.  A document's score is the sum,
 over its n-grams, of the log ratio of the two smoothed probabilities, divided by
 their number and ``PRIOR_GRAMS`` more, which pull short texts towards 0; else its
 length cancels out.  Every document is held against the same threshold, which
@@ -29,14 +29,14 @@ from casebook.llm.common import (SPACE, STEP_BYTES, doc_of, extended, in_arrow,
 
 #: Hash buckets of the two multinomials; bounds everything the driver holds.
 BUCKETS = 1 << 16
-#: Trusted documents at most, the first by hash of their id.
-TRUSTED_ROWS = 20_000
 #: The threshold lies this far below this quantile of the trusted documents' own
 #: scores: what is rejected is half as likely, n-gram for n-gram, as they are.
 QUANTILE = 0.01
 MARGIN = math.log(2)
 #: Pseudo-count of every bucket.
 SMOOTHING = 1.0
+#: Bins of one pass over the scores on the way to the quantile.
+QUANTILE_BINS = 4096
 #: Length of the n-grams, in bytes.  Parts of words recur in any text of a
 #: language, so that few trusted documents are enough.
 ORDER = 3
@@ -126,11 +126,11 @@ def gram_steps(buf: np.ndarray, offsets: np.ndarray, buckets: int) -> Iterator[t
         yield grams(step, np.array([0, len(step)]), buckets)
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """The trusted documents: labelled good and not toxic, ``rows`` at most.
+def trusted_ids(labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """The trusted documents: labelled good and not toxic, all of them.
 
-    They are the first by hash of the id.  A bound on the hash, set from their
-    number, leaves about twice ``rows`` of them to sort.
+    ``rows`` asks for a sample instead, the first by hash of the id; a bound on
+    the hash, set from their number, leaves about twice ``rows`` of them to sort.
     """
     good = (F.coalesce(F.col("quality") == 1, F.lit(False))
             & F.coalesce(F.col("toxic") == 0, F.lit(False)))
@@ -138,57 +138,97 @@ def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
            .groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
            .agg(F.min(good.cast("int")).alias("_good"))
            .where("_good = 1").select("doc_id"))
+    if rows is None:
+        return ids
     point = F.md5(F.col("doc_id").cast("string"))
     bound = min(1 << 32, (2 * rows << 32) // max(1, ids.count()))
     return (ids.where(F.conv(F.substring(point, 1, 8), 16, 10).cast("bigint") < bound)
             .orderBy(point, "doc_id").limit(rows))
 
 
-def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """Log ratio of target to raw probability of each hash bucket.
+def documents_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of every row of ``docs`` with one of ``ids``."""
+    return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            .join(ids.select("doc_id"), "doc_id", "left_semi"))
 
-    ``trusted`` has a documented bound (``TRUSTED_ROWS`` ids), hence the
-    broadcast.  The raw counts cover all documents; they are summed per task
-    before the shuffle and ``buckets`` rows reach the driver.
-    """
-    ids = F.broadcast(trusted.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_target")))
-    marked = (docs.select(F.col("doc_id").cast("bigint").alias("_doc"), "text")
-              .join(ids, F.col("_doc") == F.col("_id"), "left")
-              .select("text", F.col("_target").isNotNull().alias("_target")))
 
+def gram_counts(docs: DataFrame, buckets: int) -> np.ndarray:
+    """n-grams of all documents by hash bucket.
+
+    They are summed per task before the shuffle; ``buckets`` rows reach the driver.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        total = np.zeros(buckets, np.int64)
         for batch in batches:
-            flag = batch.column(1).to_numpy(zero_copy_only=False)
-            for lo, hi, buf, offsets in texts(batch.column(0)):
-                for bucket, doc in gram_steps(buf, offsets, buckets):
-                    raw += np.bincount(bucket, minlength=buckets)
-                    target += np.bincount(bucket[flag[lo:hi][doc]], minlength=buckets)
-        at = np.flatnonzero(raw)
-        yield pa.record_batch({"bucket": at.astype(np.int32), "raw": raw[at], "target": target[at]})
-
-    rows = (marked.mapInArrow(count, "bucket int, raw bigint, target bigint")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-            .toArrow())
-    raw, target = np.zeros(buckets), np.zeros(buckets)
-    at = rows.column("bucket").to_numpy()
-    raw[at], target[at] = rows.column("raw").to_numpy(), rows.column("target").to_numpy()
+            for _, _, buf, offsets in texts(batch.column(0)):
+                for bucket, _ in gram_steps(buf, offsets, buckets):
+                    total += np.bincount(bucket, minlength=buckets)
+        at = np.flatnonzero(total)
+        yield pa.record_batch({"bucket": at.astype(np.int32), "n": total[at]})
+
+    rows = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "bucket int, n bigint")
+            .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
+    total = np.zeros(buckets)
+    total[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    return total
+
+
+def ratios(docs: DataFrame, own: DataFrame, buckets: int) -> np.ndarray:
+    """Log ratio of target (``own``) to raw probability of each hash bucket."""
+    target = gram_counts(own, buckets)
     if not target.sum():
         return np.zeros(buckets, np.float32)
+    raw = gram_counts(docs, buckets)
     p = (target + SMOOTHING) / (target.sum() + SMOOTHING * buckets)
     q = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * buckets)
     return (np.log(p) - np.log(q)).astype(np.float32)
 
 
-def threshold_of(docs: DataFrame, trusted: DataFrame, model: np.ndarray) -> float:
-    """``MARGIN`` below the ``QUANTILE`` of the trusted documents' scores, exactly.
+def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """The model of ``docs`` with the documents of the ids ``trusted`` as target."""
+    return ratios(docs, documents_of(docs, trusted), buckets)
 
-    Only the trusted documents are scored, at most ``TRUSTED_ROWS`` ids.
+
+def quantile(values: DataFrame, q: float, bins: int = QUANTILE_BINS) -> float | None:
+    """The exact quantile of a column of finite doubles, interpolated like ``percentile``.
+
+    Counts by bins narrow the range around a rank until its ends are equal, so
+    ``bins`` rows a pass reach the driver, whatever the number of values.
     """
-    own = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-           .join(F.broadcast(trusted.select("doc_id")), "doc_id", "left_semi"))
-    least = judge(own, model, 0.0).agg(F.percentile("score", F.lit(QUANTILE))).first()[0]
-    return (least or 0.0) - MARGIN
+    v = F.col(values.columns[0])
+    n, least, most = values.agg(F.count(v), F.min(v), F.max(v)).first()
+    if not n:
+        return None
+
+    def ranked(k: int) -> float:
+        lo, hi, below = least, most, 0
+        while lo < hi:
+            place = F.least(F.floor((v - lo) / (hi - lo) * bins), F.lit(bins - 1)).alias("bin")
+            for r in (values.where(v.between(lo, hi)).groupBy(place)
+                      .agg(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+                      .orderBy("bin").collect()):
+                if k < below + r.n:
+                    lo, hi = r.lo, r.hi
+                    break
+                below += r.n
+        return lo
+
+    at = q * (n - 1)
+    lower, upper = math.floor(at), math.ceil(at)
+    if lower == upper:
+        return ranked(lower)
+    return (upper - at) * ranked(lower) + (at - lower) * ranked(upper)
+
+
+def least_score(own: DataFrame, model: np.ndarray) -> float:
+    """``MARGIN`` below the ``QUANTILE`` of the scores of ``own``, exactly."""
+    scores = saved(judge(own, model, 0.0).select("score"), "scores")
+    return (quantile(scores, QUANTILE) or 0.0) - MARGIN
+
+
+def threshold_of(docs: DataFrame, trusted: DataFrame, model: np.ndarray) -> float:
+    """The threshold that follows from the documents of the ids ``trusted``."""
+    return least_score(documents_of(docs, trusted), model)
 
 
 def judge(docs: DataFrame, model: np.ndarray, threshold: float) -> DataFrame:
@@ -233,8 +273,9 @@ def judge(docs: DataFrame, model: np.ndarray, threshold: float) -> DataFrame:
 def _fitted(docs: DataFrame, labels: DataFrame, threshold: float | None,
             buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
     trusted = saved(trusted_ids(labels), "trusted")
-    model = fit(docs, trusted, buckets)
-    return model, threshold_of(docs, trusted, model) if threshold is None else threshold
+    own = saved(documents_of(docs, trusted), "own")
+    model = ratios(docs, own, buckets)
+    return model, least_score(own, model) if threshold is None else threshold
 
 
 def rate(docs: DataFrame, labels: DataFrame, threshold: float | None = None,

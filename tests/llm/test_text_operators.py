@@ -457,6 +457,27 @@ def test_trusted_sample_is_bounded_and_the_first_by_hash(spark):
         assert [r.doc_id for r in quality.trusted_ids(labels, rows_).collect()] == order[:rows_]
 
 
+def test_all_trusted_documents_count(spark):
+    n = 20_500
+    data = [(i, ("aaaa" if i % 2 else "zzzz") * 3) for i in range(n)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(n)], "doc_id long, quality int, toxic int")
+    assert quality.trusted_ids(labels).count() == n
+    # With every document trusted the two multinomials are the same one.
+    assert not quality.fit(docs, quality.trusted_ids(labels), 64).any()
+    assert {r.score for r in quality.rate(docs, labels).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("q", [0.0, 0.01, 0.5, 0.77, 1.0])
+def test_quantile_is_exact(spark, q):
+    rng = random.Random(4)
+    values = [rng.choice([rng.gauss(0, 1), 0.25, -3.0, rng.gauss(0, 1e-9)]) for _ in range(777)]
+    df = spark.createDataFrame([(v,) for v in values], "score double").repartition(3)
+    assert quality.quantile(df, q, 5) == pytest.approx(float(np.quantile(values, q)), rel=1e-12, abs=1e-15)
+    assert quality.quantile(df.where("score > 99"), q) is None
+    assert quality.quantile(df.where("score = 0.25"), q) == 0.25
+
+
 def test_quality_kept_returns_the_columns(docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     odd = docs.withColumn("score", F.lit("own")).withColumn("kept", F.lit(1))
