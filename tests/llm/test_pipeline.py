@@ -54,6 +54,17 @@ def test_quality_stage(spark, stages):
     assert sorted(tuples(stages["quality_rules"])) == sorted(want) and 0 < len(want) < 200
 
 
+def test_quality_stage_counts_every_trusted_document(spark, tmp_path):
+    """500 trusted documents that come after 20,000 others by hash are no junk."""
+    ids = sorted(range(20_500), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    plain, late = (" ".join(2 * c + x for x in "abcdefghijkl") for c in "gz")
+    docs = spark.createDataFrame([(i, plain if k < 20_000 else late) for k, i in enumerate(ids)],
+                                 "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in ids], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).count() == len(ids)
+
+
 def test_line_dedup_stage(stages):
     data = tuples(stages["quality_rules"])
     cut, where = kept_lines(data)
