@@ -1,10 +1,12 @@
 """Physical-plan properties that matter at scale."""
 
+import datetime as dt
 import re
 
 import pytest
 
 from casebook.plans.registry import QUERIES
+from casebook.sources import tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,6 +75,32 @@ def test_lineitem_is_shuffled_once_for_the_weekly_table(spark, large_tables):
         or "REPARTITION_BY_COL" in p
 
 
+def test_the_weekly_table_gets_tasks_by_its_lines(spark, large_tables, monkeypatch):
+    rows = {
+        "lineitem": [(i % 100, 10.0 + i, "ANR"[i % 3], "OF"[i % 2], dt.datetime(1998, 1 + i % 12, 5)) for i in range(300)],
+        "orders": [(i, i % 7) for i in range(100)], "customer": [(i, i % 2, "BUILDING") for i in range(7)],
+        "nation": [(0, 0), (1, 1)], "region": [(0, "ASIA"), (1, "AFRICA")]}
+    names = {"lineitem": ("l_orderkey long, l_extendedprice double, l_returnflag string, l_linestatus string, "
+                          "l_shipdate timestamp_ntz"),
+             "orders": "o_orderkey long, o_custkey long",
+             "customer": "c_custkey long, c_nationkey long, c_mktsegment string",
+             "nation": "n_nationkey long, n_regionkey long", "region": "r_regionkey long, r_name string"}
+    given = {k: spark.createDataFrame(v, names[k]) for k, v in rows.items()}
+    monkeypatch.setattr(tables.Tables, "raw", lambda self, name: given[name])
+
+    def weekly():
+        df = tables.Tables(spark, "").weekly_amounts
+        return sorted(map(tuple, df.collect())), df._jdf.queryExecution().executedPlan().toString()
+    want, p = weekly()
+    assert "REPARTITION_BY_COL" in p and "REPARTITION_BY_NUM" not in p  # few lines: Spark decides
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 10)
+    got, p = weekly()
+    assert got == want and len(want) > 40
+    assert re.search(r"hashpartitioning\(l_orderkey#\w+, 30\), REPARTITION_BY_NUM", p), p
+    assert re.search(r"hashpartitioning\(o_orderkey#\w+, 30\)", p), p
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", p)) == 1
+
+
 @pytest.mark.parametrize("key, exchanges, scans", [
     ("loyalty_first_items", 5, 3), ("loyalty_first_after_join", 6, 4),
     ("loyalty_last_before_join", 6, 4)])
