@@ -6,12 +6,13 @@ kept.  Names that mark an element (class, id, role) drop no article but one of
 the comments, and an id inside an article says nothing, since ids there name its
 sections.  Where names wrap the only article, or all text, they are passed over.
 
-An article that the page marks is then left alone.  On pages that mark none, the
-text that is left is boilerplate where it repeats: their token streams are the
-strings of a suffix array for each host, in which Spark's own shuffle brings
-together the suffixes that share their first ``MIN_RUN`` tokens.  A run that
-stands on ``LEAST_PAGES`` pages of its host or more goes, and the runs between
-stay.  Pages of a host with equal streams count as one page.  A page without a
+What is left is boilerplate where it repeats.  The token streams are the strings
+of a suffix array for each host, in which Spark's own shuffle brings together the
+suffixes that share their first ``MIN_RUN`` tokens.  On pages that mark no article
+a run that stands on ``LEAST_PAGES`` of them or more goes, and the runs between
+stay.  From articles that pages mark such a run goes if it stands in
+``LEAST_PAGES`` of these as well; what only articles share is their own text.
+Pages of a host with equal streams count as one page.  A page without a
 run of ``MIN_RUN`` tokens of its own is a copy of others and is left as it is.
 So another page changes a text only if it lifts a run over the count.
 
@@ -274,22 +275,35 @@ def without_runs(stream: list[str], at: list[int]) -> list[str]:
     return out
 
 
-def _repeated(streams: DataFrame, least_pages: int) -> DataFrame:
-    """(host, stream, at): the runs of each stream that stand on enough pages of its host."""
+def _runs(streams: DataFrame) -> DataFrame:
+    """(host, stream, run, at) of every run of ``MIN_RUN`` tokens."""
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         run, row, at = runs_of(batch.column(2).to_pylist())
         return pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
              pa.array(run.view(np.int64)), pa.array(at)], ["host", "stream", "run", "at"])
 
-    runs = streams.select("host", "stream", "blocks").mapInArrow(
+    return streams.select("host", "stream", "blocks").mapInArrow(
         in_arrow(step), "host bigint, stream string, run bigint, at bigint")
-    common = (runs.select("host", "run", "stream").distinct().groupBy("host", "run")
-              .agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least_pages))
+
+
+def _common(runs: DataFrame, least_pages: int) -> DataFrame:
+    """(host, run): the runs that stand on enough pages of their host."""
+    return (runs.select("host", "run", "stream").distinct().groupBy("host", "run")
+            .agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least_pages).drop("pages"))
+
+
+def _places(runs: DataFrame, common: DataFrame) -> DataFrame:
+    """(host, stream, at): where the common runs stand in each stream."""
     return (joined_back(runs, common, "host", "run").groupBy("host", "stream")
             .agg(F.collect_list("at").alias("at")))
 
 
+def _streams(rows: DataFrame) -> DataFrame:
+    """Each text of a host once."""
+    return rows.groupBy("host", "stream").agg(F.first("blocks").alias("blocks"))
+
+
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")),
                                     r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
@@ -311,11 +325,21 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     parsed = saved(rows.mapInArrow(in_arrow(parse), "page_id bigint, url string, host bigint, "
                                                     "blocks array<string>, marked boolean"), "parsed")
     joined = F.array_join("blocks", "\n\n")
-    settled = F.col("marked") | (F.size("blocks") == 0)
-    done = parsed.where(settled).select("page_id", "url", joined.alias("text"))
-    open_rows = parsed.where(~settled).withColumn("stream", F.sha2(joined, 256))
-    streams = open_rows.groupBy("host", "stream").agg(F.first("blocks").alias("blocks"))
-    hits = saved(_repeated(streams, least_pages), "runs")
+    empty = F.size("blocks") == 0
+    rows = parsed.withColumn("stream", F.sha2(joined, 256))
+    open_rows = rows.where(~F.col("marked") & ~empty)
+    runs = _runs(_streams(open_rows))
+    common = saved(_common(runs, least_pages), "common")
+    hits = saved(_places(runs, common), "runs")
+
+    # Articles can only hold common runs of their own host, so the others are done.
+    hosts = common.select("host").distinct()
+    articles = rows.where(F.col("marked") & ~empty)
+    near = articles.join(hosts, "host", "left_semi")
+    found = saved(joined_back(_runs(_streams(near)), common, "host", "run"), "found")
+    article_hits = saved(_places(found, _common(found, least_pages)), "article_runs")
+    done = (rows.where(empty).select("page_id", "url", joined.alias("text"))
+            .unionByName(articles.join(hosts, "host", "left_anti").select("page_id", "url", joined.alias("text"))))
 
     def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
         left = [without_runs(b, at) if at else b
@@ -323,6 +347,8 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
         return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(["\n\n".join(b) for b in left], pa.string())],
                                           ["page_id", "url", "text"])
 
-    cleaned = (open_rows.join(hits, ["host", "stream"], "left").select("page_id", "url", "blocks", "at")
-               .mapInArrow(in_arrow(clean), "page_id bigint, url string, text string"))
-    return done.unionByName(cleaned)
+    for some, at in ((open_rows, hits), (near, article_hits)):
+        done = done.unionByName(
+            some.join(at, ["host", "stream"], "left").select("page_id", "url", "blocks", "at")
+            .mapInArrow(in_arrow(clean), "page_id bigint, url string, text string"))
+    return done

@@ -254,6 +254,25 @@ def test_near_copies_and_marked_articles_keep_shared_text(spark):
     assert got == dict(enumerate(near)) | {10 + i: t for i, t in enumerate(marked)}
 
 
+def test_a_notice_of_the_host_goes_from_marked_articles_too(spark):
+    rng = random.Random(8)
+    bodies = [own_words(rng, 30) for _ in range(20)]
+    teaser, shared = own_words(rng, 12), own_words(rng, 12)
+    plain = lambda i, *more: "".join(f"<p>{x}</p>" for x in (bodies[i], *more))
+    marked = lambda i, *more: f"<article>{plain(i, *more)}</article>"
+    data = [(i, "http://h/", plain(i, LINE, teaser)) for i in range(3)]
+    data += [(3 + i, "http://h/", marked(3 + i, LINE, shared)) for i in range(3)]
+    data += [(6, "http://h/", marked(6, teaser)), (7, "http://h/", "<article></article>")]
+    data += [(8 + i, "http://articles/", marked(8 + i, LINE)) for i in range(3)]  # in articles alone
+    data += [(11 + i, "http://two/", plain(11 + i, LINE)) for i in range(3)]
+    data += [(14 + i, "http://two/", marked(14 + i, LINE)) for i in range(2)]  # in two articles
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(data, PAGES)).collect()}
+    want = {i: bodies[i] for i in (0, 1, 2, 11, 12, 13)}
+    want |= {i: f"{bodies[i]}\n\n{shared}" for i in (3, 4, 5)}
+    want |= {6: f"{bodies[6]}\n\n{teaser}", 7: ""}
+    assert got == want | {i: f"{bodies[i]}\n\n{LINE}" for i in (8, 9, 10, 14, 15)}
+
+
 @pytest.mark.parametrize("name", "discussion widgets search comments navigation related notice byline tracking "
                                  "login social replies".split())
 def test_sections_of_an_article_keep_their_text(name):
