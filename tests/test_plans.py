@@ -75,7 +75,7 @@ def test_lineitem_is_shuffled_once_for_the_weekly_table(spark, large_tables):
         or "REPARTITION_BY_COL" in p
 
 
-def test_the_weekly_table_gets_tasks_by_its_lines(spark, large_tables, monkeypatch):
+def test_the_weekly_table_gets_tasks_by_its_splits(spark, large_tables, monkeypatch):
     rows = {
         "lineitem": [(i % 100, 10.0 + i, "ANR"[i % 3], "OF"[i % 2], dt.datetime(1998, 1 + i % 12, 5)) for i in range(300)],
         "orders": [(i, i % 7) for i in range(100)], "customer": [(i, i % 2, "BUILDING") for i in range(7)],
@@ -91,9 +91,12 @@ def test_the_weekly_table_gets_tasks_by_its_lines(spark, large_tables, monkeypat
     def weekly():
         df = tables.Tables(spark, "").weekly_amounts
         return sorted(map(tuple, df.collect())), df._jdf.queryExecution().executedPlan().toString()
+    lines = given["lineitem"]
+    given["lineitem"] = lines.coalesce(1)
     want, p = weekly()
-    assert "REPARTITION_BY_COL" in p and "REPARTITION_BY_NUM" not in p  # few lines: Spark decides
-    monkeypatch.setattr(tables, "LINES_PER_TASK", 10)
+    assert "REPARTITION_BY_COL" in p and "REPARTITION_BY_NUM" not in p  # one split: Spark decides
+    monkeypatch.setattr(tables, "TASKS_PER_SPLIT", 5)
+    given["lineitem"] = lines.repartition(6, "l_orderkey")
     got, p = weekly()
     assert got == want and len(want) > 40
     assert re.search(r"hashpartitioning\(l_orderkey#\w+, 30\), REPARTITION_BY_NUM", p), p
