@@ -104,6 +104,22 @@ def test_the_weekly_table_gets_tasks_by_its_splits(spark, large_tables, monkeypa
     assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", p)) == 1
 
 
+@pytest.mark.parametrize("key", ["mart_txn_by_platform"])
+def test_mart_tasks_follow_the_splits_of_lineitem(spark, key):
+    want = sorted(map(tuple, QUERIES[key](spark, SF).collect()))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        df = QUERIES[key](spark, SF)
+        splits = tables.bind(spark, SF).raw("lineitem").rdd.getNumPartitions()
+        assert splits >= spark.sparkContext.defaultParallelism
+        wanted = rf"hashpartitioning\(l_orderkey#\w+, {splits * tables.TASKS_PER_SPLIT}\), REPARTITION_BY_NUM"
+        assert re.search(wanted, _plan(df)), _plan(df)
+        assert sorted(map(tuple, df.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 @pytest.mark.parametrize("key, exchanges, scans", [
     ("loyalty_first_items", 5, 3), ("loyalty_first_after_join", 6, 4),
     ("loyalty_last_before_join", 6, 4)])
