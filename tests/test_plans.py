@@ -104,7 +104,8 @@ def test_the_weekly_table_gets_tasks_by_its_splits(spark, large_tables, monkeypa
     assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", p)) == 1
 
 
-@pytest.mark.parametrize("key", ["mart_txn_by_platform", "mart_txn_by_year", "mart_missing_weeks"])
+@pytest.mark.parametrize("key", ["mart_txn_by_platform", "mart_txn_by_year", "mart_missing_weeks",
+                                 "mart_missing_weeks_year"])
 def test_mart_tasks_follow_the_splits_of_lineitem(spark, key):
     want = sorted(map(tuple, QUERIES[key](spark, SF).collect()))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
