@@ -121,6 +121,36 @@ def test_mart_tasks_follow_the_splits_of_lineitem(spark, key):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.mark.parametrize("key", ["mart_txn_by_platform"])
+def test_orders_meet_customers_in_tasks_by_their_splits(spark, large_tables, key):
+    want = sorted(map(tuple, QUERIES[key](spark, SF).collect()))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        df = QUERIES[key](spark, SF)
+        tasks = tables.bind(spark, SF).raw("orders").rdd.getNumPartitions() * tables.TASKS_PER_SPLIT
+        assert re.search(rf"hashpartitioning\(o_custkey#\w+, {tasks}\), REPARTITION_BY_NUM", _plan(df)), _plan(df)
+        assert re.search(rf"hashpartitioning\(c_custkey#\w+, {tasks}\)", _plan(df)), _plan(df)
+        assert len(re.findall(r"Exchange hashpartitioning\(o_custkey", _plan(df))) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(map(tuple, df.collect())) == want
+
+
+def test_fewer_splits_than_slots_are_dealt_by_splits_too(spark):
+    """Many files may make fewer splits than slots, however large they are."""
+    slots = spark.sparkContext.defaultParallelism
+    line = [(i, 1.0, "A", "O", dt.datetime(1998, 1, 5)) for i in range(slots * 10)]
+    li = spark.createDataFrame(line, "l_orderkey long, l_extendedprice double, l_returnflag string, "
+                                     "l_linestatus string, l_shipdate timestamp_ntz")
+    o = spark.createDataFrame([(i, i % 7) for i in range(50)], "o_orderkey long, o_custkey long")
+    for splits, by_splits in ((slots - 1, True), (slots // 2 + 1, True), (slots // 2, False), (1, False)):
+        dealt, orders = tables.Tables(spark, "")._dealt(li.repartition(splits, "l_orderkey"), o)
+        assert ("REPARTITION_BY_NUM" in _plan(dealt)) == by_splits, splits
+        assert ("REPARTITION_BY_NUM" in _plan(orders)) == by_splits, splits
+        assert sorted(orders.collect()) == sorted(o.collect())
+
+
 @pytest.mark.parametrize("key, exchanges, scans", [
     ("loyalty_first_items", 5, 3), ("loyalty_first_after_join", 6, 4),
     ("loyalty_last_before_join", 6, 4)])
